@@ -6,25 +6,76 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from basewise.llm.decontamination import op3_contaminated
+from basewise.llm.html_extraction import op1_extract
 from basewise.llm.kdtree_search import op2_kdtree
+from basewise.llm.language_id import op4_language
+from basewise.llm.line_dedup import op10_lines
+from basewise.llm.packing import op5_pack
+from basewise.llm.quality import op9_quality
 from basewise.llm.simhash_dedup import op7_simhash
+from basewise.llm.token_counts import op6_count
+from basewise.llm.toxicity import op8_toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op1_extract(_table(spark, sf_dir, "pages"))
+
+
 def op2_kdtree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2_kdtree(_table(spark, sf_dir, "embeddings"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op3_contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4_language(_table(spark, sf_dir, "documents"))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5_pack(_table(spark, sf_dir, "documents"))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6_count(_table(spark, sf_dir, "documents"))
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_simhash(_table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op9_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_lines(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op2_kdtree_search": op2_kdtree_search,
-    "op7_simhash_dedup": op7_simhash_dedup,
+    f.__name__: f
+    for f in (
+        op1_html_extraction,
+        op2_kdtree_search,
+        op3_decontamination,
+        op4_language_id,
+        op5_packing,
+        op6_token_counts,
+        op7_simhash_dedup,
+        op8_toxicity_pu,
+        op9_quality_mil,
+        op10_line_dedup,
+    )
 }
 
 #: floor(64 x) and every inner product, ranked.
@@ -43,4 +94,70 @@ r AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
 
-ORACLES: dict[str, str] = {"op2_kdtree_search": _OP2}
+#: Every window that lines up with an item's shingle, held to every item of its
+#: size by weighted Jaccard similarity, without fingerprints.
+_OP3 = r"""
+WITH d AS (
+  SELECT DISTINCT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{M}\p{N}]+'), w -> w <> '') AS w FROM documents WHERE text IS NOT NULL),
+b AS (
+  SELECT DISTINCT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{M}\p{N}]+'), w -> w <> '') AS w FROM benchmark WHERE text IS NOT NULL),
+g AS (
+  SELECT item_id, len(w) AS size, u.i AS at, array_to_string(w[u.i : u.i + 4], ' ') AS s
+  FROM b, unnest(range(1, len(w) - 3)) u(i) WHERE len(w) >= 5),
+p AS (
+  SELECT doc_id, w, u.i AS pos, array_to_string(w[u.i : u.i + 4], ' ') AS s
+  FROM d, unnest(range(1, len(w) - 3)) u(i) WHERE len(w) >= 5),
+win AS (
+  SELECT DISTINCT doc_id, pos - at AS start, size, w[greatest(pos - at, 0) + 1 : pos - at + size] AS w
+  FROM p JOIN (SELECT DISTINCT size, at, s FROM g) USING (s)),
+ws AS (
+  SELECT doc_id, start, size, array_to_string(w[u.i : u.i + 4], ' ') AS s, count(*) AS n
+  FROM win, unnest(range(1, len(w) - 3)) u(i) GROUP BY ALL),
+gs AS (SELECT item_id, size, s, count(*) AS n FROM g GROUP BY ALL),
+wn AS (SELECT doc_id, start, size, sum(n) AS n FROM ws GROUP BY ALL),
+gn AS (SELECT item_id, sum(n) AS n FROM gs GROUP BY ALL),
+met AS (
+  SELECT ws.doc_id, ws.start, ws.size, gs.item_id, sum(least(ws.n, gs.n)) AS both
+  FROM ws JOIN gs ON ws.s = gs.s AND ws.size = gs.size GROUP BY ALL)
+SELECT met.doc_id, met.item_id, max(CAST(both AS DOUBLE) / CAST(wn.n + gn.n - both AS DOUBLE)) AS similarity
+FROM met JOIN wn ON met.doc_id IS NOT DISTINCT FROM wn.doc_id AND met.start = wn.start AND met.size = wn.size
+  JOIN gn ON met.item_id = gn.item_id
+WHERE CAST(both AS DOUBLE) / CAST(wn.n + gn.n - both AS DOUBLE) >= 0.8
+GROUP BY met.doc_id, met.item_id
+"""
+
+#: Lines against all earlier lines that share their first or last word: one
+#: word edit leaves one of the two.
+_OP10 = r"""
+WITH raw AS (
+  SELECT doc_id, u.i - 1 AS line, string_split(text, chr(10))[u.i] AS raw
+  FROM documents, unnest(range(1, len(string_split(text, chr(10))) + 1)) u(i) WHERE text IS NOT NULL),
+l AS (
+  SELECT doc_id, line, raw, trim(regexp_replace(raw, '[ \t\n\x0B\f\r]+', ' ', 'g'), ' ') AS flat FROM raw),
+f AS (
+  SELECT doc_id, line, flat, string_split(flat, ' ') AS w
+  FROM l WHERE flat <> '' QUALIFY row_number() OVER (PARTITION BY flat ORDER BY doc_id, line) = 1),
+e AS (SELECT *, len(w) AS n, w[1] AS a, w[len(w)] AS z FROM f WHERE len(w) >= 5),
+c AS (
+  SELECT y.doc_id, y.line, y.w AS v, x.w AS u FROM e y JOIN e x
+    ON x.a = y.a AND abs(x.n - y.n) <= 1 AND (x.doc_id < y.doc_id OR (x.doc_id = y.doc_id AND x.line < y.line))
+  UNION ALL
+  SELECT y.doc_id, y.line, y.w, x.w FROM e y JOIN e x
+    ON x.z = y.z AND abs(x.n - y.n) <= 1 AND (x.doc_id < y.doc_id OR (x.doc_id = y.doc_id AND x.line < y.line))),
+m AS (
+  SELECT *, coalesce(list_position(list_transform(range(1, least(len(u), len(v)) + 1), i -> u[i] <> v[i]), true), least(len(u), len(v)) + 1) AS i FROM c),
+near AS (
+  SELECT DISTINCT doc_id, line FROM m
+  WHERE (len(u) = len(v) AND u[i + 1 :] = v[i + 1 :]) OR (len(u) > len(v) AND u[i + 1 :] = v[i :]) OR (len(u) < len(v) AND u[i :] = v[i + 1 :])),
+k AS (
+  SELECT l.doc_id, l.line, l.raw, l.flat FROM l
+    LEFT JOIN f ON l.doc_id = f.doc_id AND l.line = f.line
+    LEFT JOIN near ON l.doc_id = near.doc_id AND l.line = near.line
+  WHERE l.flat = '' OR (f.doc_id IS NOT NULL AND near.doc_id IS NULL)),
+t AS (
+  SELECT doc_id, string_agg(raw, chr(10) ORDER BY line) AS text, count(*) FILTER (flat <> '') AS n_lines FROM k GROUP BY doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(t.text, '') END AS text, CAST(coalesce(t.n_lines, 0) AS BIGINT) AS n_lines
+FROM documents d LEFT JOIN t ON d.doc_id = t.doc_id
+"""
+
+ORACLES: dict[str, str] = {"op2_kdtree_search": _OP2, "op3_decontamination": _OP3, "op10_line_dedup": _OP10}
