@@ -54,10 +54,11 @@ def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return rows.select("doc", "line", "flat")
 
 
-def _with_text(docs: DataFrame, kept: Column, text: str) -> DataFrame:
-    """docs with only the kept line numbers (ascending) of text."""
+def _only(kept: Column, doc_id: str, text: str) -> Column:
+    """text with only the kept line numbers, which ascend."""
     parts = F.split(text, "\n")
-    return docs.withColumn(text, F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n"))
+    lines = F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n")
+    return F.when(F.col(doc_id).isNull(), F.col(text)).otherwise(lines)
 
 
 def _numbers(text: str) -> Column:
@@ -74,9 +75,8 @@ def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     joined = docs.join(first, docs[doc_id] == first["__doc"], "left")
     parts = F.split(text, "\n")
     blank = F.filter(_numbers(text), lambda i: F.get(parts, i).rlike(r"\A\s*\z"))
-    kept = F.array_sort(F.array_union(F.coalesce("__kept", F.array().cast("array<int>")), blank))
-    changed = _with_text(joined, kept, text).withColumn(text, F.when(docs[doc_id].isNull(), docs[text]).otherwise(F.col(text)))
-    return changed.select(*docs.columns)
+    kept = F.sort_array(F.array_union(F.coalesce("__kept", F.array().cast("array<int>")), blank))
+    return joined.withColumn(text, _only(kept, doc_id, text)).select(*docs.columns)
 
 
 def _halves(n: Column, words: Column) -> Column:
@@ -166,8 +166,8 @@ def drop_near(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     lost = near_lines(docs, doc_id, text).groupBy(F.col("doc").alias("__doc")).agg(F.collect_list("line").alias("__lost"))
     lost = _small(written(lost, "lost"))
     joined = docs.join(lost, docs[doc_id] == lost["__doc"], "left")
-    changed = _with_text(joined, F.array_except(_numbers(text), F.coalesce("__lost", F.array().cast("array<int>"))), text)
-    return changed.select(*docs.columns)
+    kept = F.array_except(_numbers(text), F.coalesce("__lost", F.array().cast("array<int>")))
+    return joined.withColumn(text, _only(kept, doc_id, text)).select(*docs.columns)
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

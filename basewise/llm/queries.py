@@ -81,10 +81,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: floor(64 x) and every inner product, ranked.
 _OP2 = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.e::DOUBLE[], c.e::DOUBLE[]) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
@@ -98,31 +98,31 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 #: size by weighted Jaccard similarity, without fingerprints.
 _OP3 = r"""
 WITH d AS (
-  SELECT DISTINCT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{M}\p{N}]+'), w -> w <> '') AS w FROM documents WHERE text IS NOT NULL),
+  SELECT DISTINCT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{M}\p{N}]+'), lambda w: w <> '') AS w FROM documents WHERE text IS NOT NULL),
 b AS (
-  SELECT DISTINCT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{M}\p{N}]+'), w -> w <> '') AS w FROM benchmark WHERE text IS NOT NULL),
+  SELECT DISTINCT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{M}\p{N}]+'), lambda w: w <> '') AS w FROM benchmark WHERE text IS NOT NULL),
 g AS (
-  SELECT item_id, len(w) AS size, u.i AS at, array_to_string(w[u.i : u.i + 4], ' ') AS s
+  SELECT item_id, len(w) AS size, u.i AS j, array_to_string(w[u.i : u.i + 4], ' ') AS s
   FROM b, unnest(range(1, len(w) - 3)) u(i) WHERE len(w) >= 5),
 p AS (
   SELECT doc_id, w, u.i AS pos, array_to_string(w[u.i : u.i + 4], ' ') AS s
   FROM d, unnest(range(1, len(w) - 3)) u(i) WHERE len(w) >= 5),
 win AS (
-  SELECT DISTINCT doc_id, pos - at AS start, size, w[greatest(pos - at, 0) + 1 : pos - at + size] AS w
-  FROM p JOIN (SELECT DISTINCT size, at, s FROM g) USING (s)),
+  SELECT DISTINCT doc_id, pos - j AS begin, size, w[greatest(pos - j, 0) + 1 : pos - j + size] AS w
+  FROM p JOIN (SELECT DISTINCT size, j, s FROM g) USING (s)),
 ws AS (
-  SELECT doc_id, start, size, array_to_string(w[u.i : u.i + 4], ' ') AS s, count(*) AS n
+  SELECT doc_id, begin, size, array_to_string(w[u.i : u.i + 4], ' ') AS s, count(*) AS n
   FROM win, unnest(range(1, len(w) - 3)) u(i) GROUP BY ALL),
 gs AS (SELECT item_id, size, s, count(*) AS n FROM g GROUP BY ALL),
-wn AS (SELECT doc_id, start, size, sum(n) AS n FROM ws GROUP BY ALL),
+wn AS (SELECT doc_id, begin, size, sum(n) AS n FROM ws GROUP BY ALL),
 gn AS (SELECT item_id, sum(n) AS n FROM gs GROUP BY ALL),
 met AS (
-  SELECT ws.doc_id, ws.start, ws.size, gs.item_id, sum(least(ws.n, gs.n)) AS both
+  SELECT ws.doc_id, ws.begin, ws.size, gs.item_id, sum(least(ws.n, gs.n)) AS common
   FROM ws JOIN gs ON ws.s = gs.s AND ws.size = gs.size GROUP BY ALL)
-SELECT met.doc_id, met.item_id, max(CAST(both AS DOUBLE) / CAST(wn.n + gn.n - both AS DOUBLE)) AS similarity
-FROM met JOIN wn ON met.doc_id IS NOT DISTINCT FROM wn.doc_id AND met.start = wn.start AND met.size = wn.size
+SELECT met.doc_id, met.item_id, max(CAST(common AS DOUBLE) / CAST(wn.n + gn.n - common AS DOUBLE)) AS similarity
+FROM met JOIN wn ON met.doc_id IS NOT DISTINCT FROM wn.doc_id AND met.begin = wn.begin AND met.size = wn.size
   JOIN gn ON met.item_id = gn.item_id
-WHERE CAST(both AS DOUBLE) / CAST(wn.n + gn.n - both AS DOUBLE) >= 0.8
+WHERE CAST(common AS DOUBLE) / CAST(wn.n + gn.n - common AS DOUBLE) >= 0.8
 GROUP BY met.doc_id, met.item_id
 """
 
@@ -145,7 +145,7 @@ c AS (
   SELECT y.doc_id, y.line, y.w, x.w FROM e y JOIN e x
     ON x.z = y.z AND abs(x.n - y.n) <= 1 AND (x.doc_id < y.doc_id OR (x.doc_id = y.doc_id AND x.line < y.line))),
 m AS (
-  SELECT *, coalesce(list_position(list_transform(range(1, least(len(u), len(v)) + 1), i -> u[i] <> v[i]), true), least(len(u), len(v)) + 1) AS i FROM c),
+  SELECT *, coalesce(list_position(list_transform(range(1, least(len(u), len(v)) + 1), lambda i: u[i] <> v[i]), true), least(len(u), len(v)) + 1) AS i FROM c),
 near AS (
   SELECT DISTINCT doc_id, line FROM m
   WHERE (len(u) = len(v) AND u[i + 1 :] = v[i + 1 :]) OR (len(u) > len(v) AND u[i + 1 :] = v[i :]) OR (len(u) < len(v) AND u[i :] = v[i + 1 :])),
