@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -26,17 +28,41 @@ def shared_dir(spark: SparkSession) -> str:
     return context._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+#: Rows a file of a table whose size is known holds, at least.
+FILE_ROWS = 500_000
+
+
+def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back.
 
-    This cuts the lineage at a table that outlives any executor.
+    This cuts the lineage at a table that outlives any executor.  If a bound of
+    its rows is known, it is written in so many files as they ask for.
     """
     spark = df.sparkSession
+    if rows is not None:
+        df = df.coalesce(max(2, -(-rows // FILE_ROWS)))
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """df, kept on the executors' disks, and its count.
+
+    A lost executor's part is worked out again from df's lineage.
+    """
+    df = df.persist(StorageLevel.DISK_ONLY)
+    return df, df.count()
+
+
+def let(value: Column, of: Callable[[Column], Column]) -> Column:
+    """of(value), value worked out once however often of names it.
+
+    Within a lambda an expression would be worked out for every element.
+    """
+    return F.get(F.transform(F.array(value), of), F.lit(0))
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of undirected edges (a, b) -> (node, root).
 
@@ -52,7 +78,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         .distinct(),
         "edges",
     )
-    mark = None
+    mark, rows = None, now.count()
     for _ in range(max_rounds):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -66,11 +92,12 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             .where("a <> b")
             .distinct()
         )
-        now = written(small, "edges")
+        # A round gives each edge's ends at most one edge each.
+        now = written(small, "edges", 2 * rows)
         seen = now.agg(
             F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
         ).first()
         if seen == mark:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        mark = seen
+        mark, rows = seen, seen[0]
     raise RuntimeError("components did not settle")

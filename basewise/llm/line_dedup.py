@@ -33,11 +33,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basewise.llm.common import written
+from basewise.llm.common import counted, let, written
 
 MIN_WORDS = 5
 BROADCAST_ROWS = 1_000_000
 LINE_SPAN = 1 << 32
+#: White space within a line, the space first.
+SPACES = " \t\r\x0b\f"
 #: What a row of a variant key stands for.
 REPLACED, WHOLE, DELETED = 0, 1, 2
 
@@ -47,24 +49,30 @@ def _at(doc_id: str, line: str) -> Column:
     return F.col(doc_id).cast("decimal(20,0)") * F.lit(LINE_SPAN).cast("decimal(10,0)") + F.col(line)
 
 
+def _flat(raw: Column) -> Column:
+    """A line with one space between words; most lines need no regex for it."""
+    odd = raw.contains("  ")
+    for c in SPACES[1:]:
+        odd = odd | raw.contains(c)
+    return F.trim(F.when(odd, F.regexp_replace(raw, r"\s+", " ")).otherwise(raw))
+
+
+def _blank(raw: Column) -> Column:
+    return F.btrim(raw, F.lit(SPACES)) == ""
+
+
 def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc, line, words) of all lines that are not blank."""
+    """(doc, line, flat) of all lines that are not blank."""
     rows = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc"), F.posexplode(F.split(text, "\n")).alias("line", "raw"))
-    rows = rows.withColumn("flat", F.trim(F.regexp_replace("raw", r"\s+", " "))).where("flat <> ''")
-    return rows.select("doc", "line", "flat")
+    return rows.where(~_blank(F.col("raw"))).select("doc", "line", _flat(F.col("raw")).alias("flat"))
 
 
 def _only(kept: Column, doc_id: str, text: str) -> Column:
     """text with only the kept line numbers, which ascend."""
-    parts = F.split(text, "\n")
-    lines = F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n")
+    lines = let(F.split(text, "\n"), lambda parts: F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n"))
     return F.when(F.col(doc_id).isNull(), F.col(text)).otherwise(lines)
 
 
-def _numbers(text: str) -> Column:
-    return F.sequence(F.lit(0), F.size(F.split(text, "\n")) - 1)
-
-
 def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs without lines that are equal to an earlier one."""
     rows = _lines(docs, doc_id, text)
@@ -73,29 +81,30 @@ def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     first = first.select(F.expr(f"(at - pmod(at, {LINE_SPAN})) div {LINE_SPAN}").alias("__doc"), line.cast("int").alias("line"))
     first = first.groupBy("__doc").agg(F.collect_list("line").alias("__kept"))
     joined = docs.join(first, docs[doc_id] == first["__doc"], "left")
-    parts = F.split(text, "\n")
-    blank = F.filter(_numbers(text), lambda i: F.get(parts, i).rlike(r"\A\s*\z"))
+    blank = F.filter(F.transform(F.split(text, "\n"), lambda x, i: F.when(_blank(x), i).otherwise(-1)), lambda i: i >= 0)
     kept = F.sort_array(F.array_union(F.coalesce("__kept", F.array().cast("array<int>")), blank))
     return joined.withColumn(text, _only(kept, doc_id, text)).select(*docs.columns)
 
 
-def _halves(n: Column, words: Column) -> Column:
+def _halves() -> Column:
     """Keys of the halves that a line of n words may share with a neighbour.
 
     Class c is the smaller word count of the pair: n itself, or n - 1 where this
-    line is the longer.  Each key is (class, side, hash).
+    line is the longer.
     """
     out = []
-    for c, role in ((n, F.lit(0)), (n - 1, F.lit(1))):
+    for longer in (0, 1):
+        c = F.col("n") - longer
         half = F.floor(c / 2).cast("int")
-        head, tail = F.slice(words, F.lit(1), half), F.slice(words, n - half + 1, half)
-        for side, part in ((0, head), (1, tail)):
-            out.append(F.struct(F.xxhash64(c, F.lit(side), part).alias("half"), role.alias("longer"), F.lit(side).alias("side")))
+        for side, part in ((0, half), (1, -half)):
+            key = F.xxhash64(c, F.lit(side), F.call_function("substring_index", F.col("flat"), F.lit(" "), part))
+            out.append(F.struct(key.alias("half"), F.lit(longer).alias("longer"), F.lit(side).alias("side")))
     return F.array(*out)
 
 
-def _variants(n: Column, words: Column, longer: Column, side: Column) -> Column:
+def _variants(words: Column, longer: Column, side: Column) -> Column:
     """Variant keys of a line in one class, one side of which is shared."""
+    n = F.size(words)
     c = n - longer
     half = F.floor(c / 2).cast("int")
     # Places outside the shared half, from 0.
@@ -126,47 +135,47 @@ def _within_one(a: Column, b: Column) -> Column:
 
 def _small(df: DataFrame) -> DataFrame:
     """df, to be broadcast if it has been counted as small enough."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    df, n = counted(df)
+    return F.broadcast(df) if n <= BROADCAST_ROWS else df
 
 
 def near_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc, line): lines within one word edit of an earlier, other line.
 
-    docs is a table that is read several times; its lines are distinct.
+    docs is a table that is read twice; its lines are distinct.
     """
-    rows = _lines(docs, doc_id, text).select("doc", "line", _at("doc", "line").alias("at"), F.split("flat", " ").alias("w"))
-    rows = rows.where(F.size("w") >= MIN_WORDS)
-    n, words = F.size("w"), F.col("w")
-    halves = rows.select("doc", "line", "at", "w", F.explode(_halves(n, words)).alias("h"))
+    n = (F.length("flat") - F.length(F.replace(F.col("flat"), F.lit(" "), F.lit(""))) + 1).alias("n")
+    rows = _lines(docs, doc_id, text).select("doc", "line", _at("doc", "line").alias("at"), "flat", n).where(F.col("n") >= MIN_WORDS)
+    halves = rows.select("doc", "line", "at", "flat", "n", F.explode(_halves()).alias("h"))
     # A line has one row a class and side, so rows of a half are distinct lines.
-    shared = halves.groupBy("h.half").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("half")
-    shared = _small(written(shared, "halves").withColumnRenamed("half", "__half"))
+    shared = halves.groupBy("h.half").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select(F.col("half").alias("__half"))
+    shared = _small(shared)
     held = halves.join(shared, halves["h.half"] == F.col("__half"), "left_semi")
-    variants = held.select("doc", "line", "at", "w", F.explode(_variants(n, words, F.col("h.longer"), F.col("h.side"))).alias("v"))
-    variants = variants.select("doc", "line", "at", "w", F.col("v.key").alias("key"), F.col("v.role").alias("role"))
+    held, _ = counted(held.select("doc", "line", "at", "flat", F.col("h.longer").alias("longer"), F.col("h.side").alias("side")))
+    words = F.split("flat", " ")
+    variants = held.select("doc", "line", "at", "flat", F.explode(let(words, lambda w: _variants(w, F.col("longer"), F.col("side")))).alias("v"))
+    variants = variants.select("doc", "line", "at", "flat", F.col("v.key").alias("key"), F.col("v.role").alias("role"))
 
     def least(*roles: int) -> Column:
         return F.min(F.when(F.col("role").isin(*roles), F.col("at")))
 
-    groups = variants.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), least(REPLACED).alias("r"), least(WHOLE).alias("f"), least(DELETED).alias("x")
-    )
-    groups = groups.where("n > 1 and (r is not null or (f is not null and x is not null))").select(F.col("key").alias("__key"), "r", "f", "x")
-    groups = _small(written(groups, "variants"))
+    groups = variants.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), least(REPLACED).alias("r"), least(WHOLE).alias("f"), least(DELETED).alias("x"))
+    groups = groups.where("rows > 1 and (r is not null or (f is not null and x is not null))").select(F.col("key").alias("__key"), "r", "f", "x")
+    groups = _small(groups)
     earliest = reduce(lambda out, at: F.when(F.col("role") == at[0], F.col(at[1])).otherwise(out), ((WHOLE, "x"), (DELETED, "f")), F.col("r"))
-    pairs = variants.join(groups, variants.key == F.col("__key")).withColumn("first", earliest).where("first < at")
-    pairs = written(pairs.select("doc", "line", "w", "first"), "pairs")
-    firsts = _small(written(pairs.select("first").distinct(), "firsts").withColumnRenamed("first", "__first"))
-    against = rows.join(firsts, rows["at"] == F.col("__first"), "left_semi").select(F.col("at").alias("first"), F.col("w").alias("w2"))
-    return pairs.join(against, "first").where(_within_one(F.col("w"), F.col("w2"))).select("doc", "line").distinct()
+    pairs = variants.join(groups, variants.key == F.col("__key")).select("doc", "line", "at", "flat", earliest.alias("first")).where("first < at").distinct()
+    # The earliest line of a key shares a half, so it was held as well.
+    against = held.select(F.col("at").alias("first"), F.col("flat").alias("flat2")).distinct()
+    return pairs.join(against, "first").where(_within_one(words, F.split("flat2", " "))).select("doc", "line").distinct()
 
 
 def drop_near(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs, whose lines are distinct, without near-equal later lines."""
     lost = near_lines(docs, doc_id, text).groupBy(F.col("doc").alias("__doc")).agg(F.collect_list("line").alias("__lost"))
-    lost = _small(written(lost, "lost"))
+    lost = _small(lost)
     joined = docs.join(lost, docs[doc_id] == lost["__doc"], "left")
-    kept = F.array_except(_numbers(text), F.coalesce("__lost", F.array().cast("array<int>")))
+    numbers = F.transform(F.split(text, "\n"), lambda x, i: i)
+    kept = F.array_except(numbers, F.coalesce("__lost", F.array().cast("array<int>")))
     return joined.withColumn(text, _only(kept, doc_id, text)).select(*docs.columns)
 
 
@@ -178,4 +187,4 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 def op10_lines(docs: DataFrame) -> DataFrame:
     """doc_id, text and n_lines (of that text) for every document."""
     kept = dedup_lines(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
-    return kept.withColumn("n_lines", F.coalesce(F.size(F.filter(F.split("text", "\n"), lambda x: ~x.rlike(r"\A\s*\z"))), F.lit(0)).cast("long"))
+    return kept.withColumn("n_lines", F.coalesce(F.size(F.filter(F.split("text", "\n"), lambda x: ~_blank(x))), F.lit(0)).cast("long"))
