@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basewise.llm.common import written
+from basewise.llm.common import let
 
 WORDS, SIMILARITY, RADIUS = 5, 0.8, 15
 BLOCKS, BLOCK_BITS = 8, 8
@@ -50,19 +50,26 @@ def _hashes(w: Column) -> Column:
 
 def _bag(w: Column) -> Column:
     """Shingles, each with the count of its like before it: a multiset as a set."""
-    told = _shingles(w, lambda x: F.array_join(x, " "))
-    ordered = F.array_sort(told)
-    return F.transform(ordered, lambda x, i: F.struct(x.alias("s"), (i - F.array_position(ordered, x)).alias("n")))
+
+    def counted(ordered: Column) -> Column:
+        return F.transform(ordered, lambda x, i: F.struct(x.alias("s"), (i - F.array_position(ordered, x)).alias("n")))
+
+    return let(F.sort_array(_shingles(w, lambda x: F.array_join(x, " "))), counted)
 
 
 def simhash(hashes: Column) -> Column:
     """The bits set in over half the hashes, as a long."""
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+
+    def fingerprint(held: Column) -> Column:
+        def bit(b: Column) -> Column:
+            ones = F.aggregate(held, none, lambda n, h: n + F.call_function("shiftright", h, b).bitwiseAND(one))
+            return F.when(ones * 2 > F.size(held), F.call_function("shiftleft", one, b)).otherwise(none)
 
-    def counted(b: Column) -> Column:
-        return F.aggregate(hashes, F.lit(0), lambda n, h: n + F.call_function("shiftright", h, b).bitwiseAND(F.lit(1).cast("long")).cast("int"))
+        bits = F.transform(F.sequence(F.lit(0), F.lit(63)), bit)
+        return F.aggregate(bits, none, lambda n, x: n.bitwiseOR(x))
 
-    bits = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda b: F.when(counted(b) * 2 > F.size(hashes), F.call_function("shiftleft", F.lit(1).cast("long"), b)).otherwise(F.lit(0).cast("long")))
-    return F.aggregate(bits, F.lit(0).cast("long"), lambda n, x: n.bitwiseOR(x))
+    return let(hashes, fingerprint)
 
 
 def _blocks(fp: Column, flips: bool) -> Column:
@@ -79,7 +86,8 @@ def _blocks(fp: Column, flips: bool) -> Column:
 
 def _windows(docs: DataFrame, grams: DataFrame, broadcast_rows: int) -> DataFrame:
     """(doc_id, start, size, w): windows that line up with an item's shingle."""
-    held = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words_of(F.col("text").cast("string")).alias("w")).where(F.size("w") >= WORDS)
+    # Texts of under five words have no shingle; a filter would split them twice.
+    held = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words_of(F.col("text").cast("string")).alias("w"))
     start = (F.col("pos") - F.col("at")).alias("start")
     # A window starts at the document's first word at the earliest.
     window = F.slice("w", F.greatest(F.col("start"), F.lit(0)) + 1, F.col("size") + F.least(F.col("start"), F.lit(0)))
@@ -98,16 +106,14 @@ def contaminated(docs: DataFrame, items: DataFrame, broadcast_rows: int = BROADC
     """(doc_id, text) x (item_id, text) -> (doc_id, item_id, similarity)."""
     held = items.select(F.col("item_id").cast("long").alias("item_id"), words_of(F.col("text").cast("string")).alias("w")).where(F.size("w") >= WORDS).distinct()
     grams = held.select(F.size("w").alias("size"), F.posexplode(_hashes(F.col("w"))).alias("at", "h")).distinct()
-    windows = _windows(docs, grams, broadcast_rows)
-    windows = written(windows.where(F.size("w") >= WORDS).withColumn("fp", simhash(_hashes(F.col("w")))), "windows")
-    known = held.select("item_id", F.size("w").alias("size"), simhash(_hashes(F.col("w"))).alias("ifp"), _bag(F.col("w")).alias("ibag"))
-    entered = known.select("item_id", "size", "ifp", F.explode(_blocks(F.col("ifp"), True)).alias("e"))
-    asked = windows.select("doc_id", "start", "size", "fp", F.explode(_blocks(F.col("fp"), False)).alias("e"))
+    windows = _windows(docs, grams, broadcast_rows).where(F.size("w") >= WORDS).withColumn("fp", simhash(_hashes(F.col("w"))))
+    known = held.select("item_id", F.size("w").alias("size"), simhash(_hashes(F.col("w"))).alias("ifp"), F.col("w").alias("iw"))
+    entered = known.select("item_id", "size", "ifp", "iw", F.explode(_blocks(F.col("ifp"), True)).alias("e"))
+    asked = windows.select("doc_id", "size", "fp", "w", F.explode(_blocks(F.col("fp"), False)).alias("e"))
     pairs = asked.join(entered, ["size", "e"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= RADIUS)
-    pairs = pairs.select("doc_id", "start", "size", "item_id").distinct()
-    where = ["start", "size"]
-    seen = pairs.join(windows.withColumnRenamed("doc_id", "of"), where).where(F.col("doc_id").eqNullSafe(F.col("of")))
-    seen = seen.join(known.select("item_id", "ibag"), "item_id").select("doc_id", "item_id", _bag(F.col("w")).alias("bag"), "ibag")
+    # A pair that several blocks find, and windows of the same words, count once.
+    pairs = pairs.select("doc_id", "item_id", "w", "iw").distinct()
+    seen = pairs.select("doc_id", "item_id", _bag(F.col("w")).alias("bag"), _bag(F.col("iw")).alias("ibag"))
     both = F.size(F.array_intersect("bag", "ibag"))
     scored = seen.select("doc_id", "item_id", (both / (F.size("bag") + F.size("ibag") - both)).alias("similarity"))
     return scored.where(F.col("similarity") >= SIMILARITY).groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity"))
