@@ -21,9 +21,9 @@ columns are ignored.
 
 from __future__ import annotations
 
+import json
 import zlib
-from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,8 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 TOKENS, END = 1024, 0
-#: Pooled examples, and texts encoded at once.
-POOL, TEXTS = 128, 64
+#: Pooled examples.
+POOL = 128
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -128,30 +128,33 @@ class Packer:
         self.sequence += 1
 
 
-def _encoded(rows: Iterator[tuple[object, str | None]], path: str) -> Iterator[Example]:
-    from tokenizers import Tokenizer
+def encoder(path: str, pattern: str) -> Callable[[str], list[int]]:
+    """The ids of a byte-level tokenizer file, by tiktoken.
 
-    tokenizer = Tokenizer.from_file(path)
-    waiting: deque[tuple[object, str]] = deque()
+    The file's merges stand in the order of their ids, so its vocabulary is the
+    merge ranks as well, and the ids are those of the tokenizers library at a
+    seventh of its time (the tests compare them).
+    """
+    import tiktoken
 
-    def told() -> Iterator[Example]:
-        texts = [t for _, t in waiting]
-        for (key, _), got in zip(waiting, tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-            ids = np.array([*got.ids, END], "<u4")
-            yield Example(key, ids, np.ones(len(ids), np.int64))
-        waiting.clear()
+    from basewise.llm.token_counts import byte_symbols
 
-    chars = 0
+    with open(path, encoding="utf-8") as f:
+        held = json.load(f)
+    symbols, special = byte_symbols(), {t["content"]: t["id"] for t in held["added_tokens"]}
+    ranks = {bytes(symbols[c] for c in piece): i for piece, i in held["model"]["vocab"].items() if piece not in special}
+    encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
+    return lambda text: encoding.encode(text, allowed_special="all")
+
+
+def _encoded(rows: Iterator[tuple[object, str | None]], path: str, pattern: str) -> Iterator[Example]:
+    encode = encoder(path, pattern)
     for key, text in rows:
-        waiting.append((key, text or ""))
-        chars += len(text or "")
-        if len(waiting) >= TEXTS or chars >= 1 << 20:
-            yield from told()
-            chars = 0
-    yield from told()
+        ids = np.array([*encode(text or ""), END], "<u4")
+        yield Example(key, ids, np.ones(len(ids), np.int64))
 
 
-def pack(docs: DataFrame, tokenizer: str, limits: Limits = Limits()) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, pattern: str, limits: Limits = Limits()) -> DataFrame:
     """(doc_id, text) -> one row per piece; every token of a text bears loss."""
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,7 +169,7 @@ def pack(docs: DataFrame, tokenizer: str, limits: Limits = Limits()) -> DataFram
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], [c.split()[0] for c in SCHEMA.split(", ")])
 
         rows = ((k.as_py(), t.as_py()) for batch in batches for k, t in zip(batch.column(0), batch.column(1), strict=True))
-        for example in _encoded(rows, tokenizer):
+        for example in _encoded(rows, tokenizer, pattern):
             out.extend(packer.add(example))
             if len(out) >= 10_000:
                 yield told()
@@ -184,4 +187,6 @@ def default_tokenizer() -> str:
 
 def op5_pack(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     """One row per piece of every document."""
-    return pack(docs, tokenizer or default_tokenizer())
+    import public_tokenizers
+
+    return pack(docs, tokenizer or default_tokenizer(), public_tokenizers.PATTERN)
