@@ -102,21 +102,28 @@ def _halves() -> Column:
     return F.array(*out)
 
 
-def _variants(words: Column, longer: Column, side: Column) -> Column:
-    """Variant keys of a line in one class, one side of which is shared."""
-    n = F.size(words)
-    c = n - longer
-    half = F.floor(c / 2).cast("int")
-    # Places outside the shared half, from 0.
-    places = F.when(side == 0, F.sequence(half, n - 1)).otherwise(F.sequence(F.lit(0), n - half - 1))
+def _variants(words: Column, half: Column, longer: Column, side: Column) -> Column:
+    """Variant keys of a line in one class, one side of which is shared.
 
-    def cut(i: Column) -> Column:
-        return F.concat(F.slice(words, F.lit(1), i), F.slice(words, i + 2, n))
+    half, the shared side's key, stands for its words; only words of the rest
+    are deleted.
+    """
+    kept = F.floor((F.size(words) - longer) / 2).cast("int")
+    rest = F.when(side == 0, F.slice(words, kept + 1, F.size(words))).otherwise(F.slice(words, F.lit(1), F.size(words) - kept))
+
+    def of(w: Column) -> Column:
+        def cut(i: Column) -> Column:
+            return F.concat(F.slice(w, F.lit(1), i), F.slice(w, i + 2, F.size(w)))
+
+        def key(kind: int, *parts: Column) -> Column:
+            return F.xxhash64(half, F.lit(kind), *parts).alias("key")
+
+        deleted = F.transform(w, lambda x, i: F.struct(key(1, cut(i)), F.lit(DELETED).alias("role")))
+        replaced = F.transform(w, lambda x, i: F.struct(key(0, i, cut(i)), F.lit(REPLACED).alias("role")))
+        whole = F.array(F.struct(key(1, w), F.lit(WHOLE).alias("role")))
+        return F.when(longer == 1, deleted).otherwise(F.concat(replaced, whole))
 
-    deleted = F.transform(places, lambda i: F.struct(F.xxhash64(F.lit(1), c, side, cut(i)).alias("key"), F.lit(DELETED).alias("role")))
-    replaced = F.transform(places, lambda i: F.struct(F.xxhash64(F.lit(0), c, side, i, cut(i)).alias("key"), F.lit(REPLACED).alias("role")))
-    whole = F.array(F.struct(F.xxhash64(F.lit(1), c, side, words).alias("key"), F.lit(WHOLE).alias("role")))
-    return F.when(longer == 1, deleted).otherwise(F.concat(replaced, whole))
+    return let(rest, of)
 
 
 def _within_one(a: Column, b: Column) -> Column:
@@ -151,9 +158,9 @@ def near_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     shared = halves.groupBy("h.half").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select(F.col("half").alias("__half"))
     shared = _small(shared)
     held = halves.join(shared, halves["h.half"] == F.col("__half"), "left_semi")
-    held, _ = counted(held.select("doc", "line", "at", "flat", F.col("h.longer").alias("longer"), F.col("h.side").alias("side")))
+    held, _ = counted(held.select("doc", "line", "at", "flat", "h.half", "h.longer", "h.side"))
     words = F.split("flat", " ")
-    variants = held.select("doc", "line", "at", "flat", F.explode(let(words, lambda w: _variants(w, F.col("longer"), F.col("side")))).alias("v"))
+    variants = held.select("doc", "line", "at", "flat", F.explode(let(words, lambda w: _variants(w, F.col("half"), F.col("longer"), F.col("side")))).alias("v"))
     variants = variants.select("doc", "line", "at", "flat", F.col("v.key").alias("key"), F.col("v.role").alias("role"))
 
     def least(*roles: int) -> Column:
