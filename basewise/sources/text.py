@@ -138,8 +138,8 @@ def parse_clusters(lines: DataFrame) -> DataFrame:
 
 def ortholog_table(clusters: DataFrame, tags: list[str]) -> DataFrame:
     """cluster x tag: the genes joined by commas, NA where there is none."""
-    joined = F.nullif(F.array_join(F.sort_array(F.collect_list("gene")), ","), F.lit(""))
-    return clusters.groupBy("cluster").pivot("tag", tags).agg(joined).fillna("NA")
+    joined = F.array_join(F.sort_array(F.collect_list("gene")), ",")
+    return clusters.groupBy("cluster").pivot("tag", tags).agg(joined).replace("", "NA", subset=tags).fillna("NA")
 
 
 def positions(spark: SparkSession, path: str) -> DataFrame:
