@@ -18,7 +18,9 @@ toxic, estimated without negatives; scores are shifted to have it at 0.7.
 Defined results: null and empty texts get the score of no word; repeated rows
 keep their rows; repeated or contradicting labels count as they come, null
 labels not at all; a null doc_id has a null held_out and trains nothing; with
-no toxic label every score is 0; an empty table gives an empty result; extra
+no toxic label every score is 0; where no cut is worth more than calling
+nothing toxic, as with too few toxic texts for any feature to stand out,
+nothing is called toxic; an empty table gives an empty result; extra
 columns are ignored.
 """
 
@@ -108,7 +110,8 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     # The greatest recall less COST times the share of other texts called toxic,
     # which the prior tells from the unlabelled texts.
     cuts = np.unique(z)
-    cuts = (cuts[1:] + cuts[:-1]) / 2 if len(cuts) > 1 else cuts
+    # The last cut, of worth 0, calls nothing toxic.
+    cuts = np.append((cuts[1:] + cuts[:-1]) / 2, np.inf)
     above = lambda x: len(x) - np.searchsorted(np.sort(x), cuts)
     recall = above(z[:n]) / n
     worth = recall - COST * (above(z[n:]) / u - prior * recall) / max(1 - prior, 1e-9)

@@ -421,6 +421,16 @@ def test_toxicity(spark):
     assert {r.score for r in toxicity.op8_toxicity(docs, none).collect()} == {0.0}
 
 
+@pytest.mark.parametrize("n", [1, 2, 3])
+def test_few_toxic_labels_empty_no_corpus(spark, n):
+    rng = random.Random(4)
+    open_ = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+    docs = documents(spark, [(i, prose(rng, 40) + (" vile scum" if i in open_[:n] else "")) for i in range(60)])
+    labels = spark.createDataFrame([(i, 1, int(i in open_[:n])) for i in open_], "doc_id long, quality int, toxic int")
+    assert {r.predicted for r in toxicity.op8_toxicity(docs, labels).collect()} == {0}
+    assert toxicity.without_toxic(docs, labels).count() == 60
+
+
 def test_quality(spark):
     rng = random.Random(3)
     good = {i: int(rng.random() < 0.7) for i in range(400)}
