@@ -1,16 +1,19 @@
 """Benchmark decontamination by SimHash windows (operator 3, native).
 
 Words are runs of letters, marks and digits in lower case.  A window is an
-item's count of words in a document.  Weighted similarity at the threshold needs
-a shared five-word shingle, so windows are taken wherever a shingle of the
-document lines up with one of an item; all other windows have similarity zero
-to every item.  Each window and item has a 64-bit SimHash of its shingles,
+item's count of words in a document.  Windows are taken wherever a shingle of
+the document lines up with one of an item.  Similarity ignores the shingles'
+order, so a passage whose parts stand in another order lines up by parts only:
+windows are also taken at the shared shingles wherever enough of them lie
+within an item's size, which finds every pair that any window gives.  Each
+window and item has a 64-bit SimHash of its shingles,
 repeats included.  A multi-index over eight blocks of eight bits, items entered
 with every block changed by up to one bit, finds every item of the window's
 size whose fingerprint is within RADIUS = 15 bits: of 15 differing bits, some
 block holds at most one.  The pairs are then held to the exact weighted Jaccard
 similarity of their shingles (the sum of the lesser counts over the sum of the
-greater), 0.8 or more.
+greater), 0.8 or more.  A pair's similarity is the greatest of the windows that
+line up, or of the others where none of those reaches 0.8.
 
 The items' shingles are broadcast up to BROADCAST_ROWS rows, counted first;
 beyond, they meet the documents' by a shuffle, with the same result.
@@ -27,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basewise.llm.common import let
+from basewise.llm.common import counted, let
 
 WORDS, SIMILARITY, RADIUS = 5, 0.8, 15
 BLOCKS, BLOCK_BITS = 8, 8
@@ -84,22 +87,45 @@ def _blocks(fp: Column, flips: bool) -> Column:
     )
 
 
+def _starts(hits: DataFrame) -> DataFrame:
+    """(doc_id, k, size, starts): where a document's windows of a size start.
+
+    hits are the document's shingles that items of the size hold: (doc_id, k,
+    words, size, pos, at).  Besides the starts that line up, a window is taken
+    at each hit, and before the first word up to each hit, if so many hits lie
+    in it as SIMILARITY asks for: moved there, any other window keeps its hits
+    and gets no longer.  If all hits line up at one start, its window holds all
+    that a whole window can.
+    """
+    held = hits.groupBy("doc_id", "k", "words", "size").agg(
+        F.array_sort(F.collect_set("pos")).alias("p"), F.collect_set(F.col("pos") - F.col("at")).alias("lined")
+    )
+    size, own = F.col("size"), F.col("size") - (WORDS - 1)
+    need = F.greatest(F.ceil(own * SIMILARITY - 1e-9).cast("int"), F.lit(1))
+    # The hit by which the window that starts at the i-th has as many as needed.
+    right = F.transform("p", lambda p, i: F.when((F.get("p", i + need - 1) < p + own) & ((F.size("lined") > 1) | (p + size > F.col("words"))), p))
+    left = F.transform("p", lambda p, i: F.when((i + 1 >= need) & (p + WORDS < size), p + WORDS - size))
+    others = F.array_except(F.filter(F.concat(right, left), lambda s: s.isNotNull()), "lined")
+    mark = lambda starts, lined: F.transform(starts, lambda s: F.struct(s.alias("start"), F.lit(lined).alias("lined")))
+    return held.select("doc_id", "k", "size", F.concat(mark(F.col("lined"), True), mark(others, False)).alias("starts"))
+
+
 def _windows(docs: DataFrame, grams: DataFrame, broadcast_rows: int) -> DataFrame:
-    """(doc_id, start, size, w): windows that line up with an item's shingle."""
+    """(doc_id, size, lined, w): windows that can reach the similarity."""
     # Texts of under five words have no shingle; a filter would split them twice.
-    held = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words_of(F.col("text").cast("string")).alias("w"))
-    start = (F.col("pos") - F.col("at")).alias("start")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("k", F.xxhash64("text"))
+    held = texts.select("doc_id", "k", words_of(F.col("text")).alias("w"))
+    placed = held.select("doc_id", "k", F.size("w").alias("words"), F.posexplode(_hashes(F.col("w"))).alias("pos", "h"))
+    small = lambda df, rows: F.broadcast(df) if rows <= broadcast_rows else df
+    hits = placed.join(small(grams, grams.count()), "h")
+    starts = small(*counted(_starts(hits).withColumnsRenamed({"doc_id": "__id", "k": "__k"})))
+    # Only documents with a window are split into words again.
+    same = F.col("k").eqNullSafe(F.col("__k")) & F.col("doc_id").eqNullSafe(F.col("__id"))
+    met = texts.join(starts, same).select("doc_id", "size", "starts", words_of(F.col("text")).alias("w"))
+    told = met.select("doc_id", "size", "w", F.explode("starts").alias("s")).select("doc_id", "size", "w", "s.start", "s.lined")
     # A window starts at the document's first word at the earliest.
     window = F.slice("w", F.greatest(F.col("start"), F.lit(0)) + 1, F.col("size") + F.least(F.col("start"), F.lit(0)))
-    if grams.count() <= broadcast_rows:
-        placed = held.select("doc_id", "w", F.posexplode(_hashes(F.col("w"))).alias("pos", "h"))
-        starts = placed.join(F.broadcast(grams), "h").select("doc_id", start, "size", "w")
-        return starts.select("doc_id", "start", "size", window.alias("w")).distinct()
-    keyed = held.withColumn("k", F.xxhash64("w"))
-    placed = keyed.select("doc_id", "k", F.posexplode(_hashes(F.col("w"))).alias("pos", "h"))
-    starts = placed.join(grams, "h").select("doc_id", "k", start, "size").distinct()
-    met = starts.join(keyed, starts["k"].eqNullSafe(keyed["k"]) & starts["doc_id"].eqNullSafe(keyed["doc_id"]))
-    return met.select(starts["doc_id"], "start", "size", window.alias("w")).distinct()
+    return told.select("doc_id", "size", "lined", window.alias("w")).distinct()
 
 
 def contaminated(docs: DataFrame, items: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -109,14 +135,15 @@ def contaminated(docs: DataFrame, items: DataFrame, broadcast_rows: int = BROADC
     windows = _windows(docs, grams, broadcast_rows).where(F.size("w") >= WORDS).withColumn("fp", simhash(_hashes(F.col("w"))))
     known = held.select("item_id", F.size("w").alias("size"), simhash(_hashes(F.col("w"))).alias("ifp"), F.col("w").alias("iw"))
     entered = known.select("item_id", "size", "ifp", "iw", F.explode(_blocks(F.col("ifp"), True)).alias("e"))
-    asked = windows.select("doc_id", "size", "fp", "w", F.explode(_blocks(F.col("fp"), False)).alias("e"))
+    asked = windows.select("doc_id", "size", "lined", "fp", "w", F.explode(_blocks(F.col("fp"), False)).alias("e"))
     pairs = asked.join(entered, ["size", "e"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= RADIUS)
     # A pair that several blocks find, and windows of the same words, count once.
-    pairs = pairs.select("doc_id", "item_id", "w", "iw").distinct()
-    seen = pairs.select("doc_id", "item_id", _bag(F.col("w")).alias("bag"), _bag(F.col("iw")).alias("ibag"))
+    pairs = pairs.select("doc_id", "item_id", "lined", "w", "iw").distinct()
+    seen = pairs.select("doc_id", "item_id", "lined", _bag(F.col("w")).alias("bag"), _bag(F.col("iw")).alias("ibag"))
     both = F.size(F.array_intersect("bag", "ibag"))
-    scored = seen.select("doc_id", "item_id", (both / (F.size("bag") + F.size("ibag") - both)).alias("similarity"))
-    return scored.where(F.col("similarity") >= SIMILARITY).groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity"))
+    scored = seen.select("doc_id", "item_id", "lined", (both / (F.size("bag") + F.size("ibag") - both)).alias("similarity"))
+    best = F.coalesce(F.max(F.when(F.col("lined"), F.col("similarity"))), F.max("similarity"))
+    return scored.where(F.col("similarity") >= SIMILARITY).groupBy("doc_id", "item_id").agg(best.alias("similarity"))
 
 
 def op3_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:

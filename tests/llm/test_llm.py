@@ -242,6 +242,25 @@ def test_decontamination(spark, rows):
     assert set(told) == set(plain_leaks(docs, items, False))
 
 
+@pytest.mark.parametrize("rows", [0, 1000])
+def test_decontamination_of_reordered_passages(spark, rows):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefghij", k=8))
+    item = [word() for _ in range(50)]
+    turned = {n: item[n:] + item[:n] for n in (6, 25, 44)}
+    docs = [(n, " ".join([word() for _ in range(30)] + w + [word() for _ in range(30)])) for n, w in turned.items()]
+    docs += [(100 + n, " ".join(w)) for n, w in turned.items()]
+    docs += [(200 + n, " ".join(w[2:] + [word() for _ in range(30)])) for n, w in turned.items()]
+    docs += [(300 + n, " ".join([word() for _ in range(30)] + w[:-2])) for n, w in turned.items()]
+    docs += [(400, " ".join(item[:25] + [word() for _ in range(30)] + item[25:])), (401, " ".join(word() for _ in range(90)))]
+    items = [(1, " ".join(item)), (2, " ".join(word() for _ in range(50)))]
+    got = decontamination.contaminated(documents(spark, docs), spark.createDataFrame(items, "item_id long, text string"), rows)
+    want, lined = (plain_leaks(docs, items, x) for x in (False, True))
+    told = {(r.doc_id, r.item_id): round(r.similarity, 9) for r in got.collect()}
+    assert told == {k: round(lined.get(k, v), 9) for k, v in want.items()}
+    assert {(25, 1), (125, 1)} <= set(told) - set(lined)
+
+
 def test_decontamination_of_nothing(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     docs = documents(spark, [(1, "a b c d e f g")])
