@@ -11,9 +11,11 @@ BLOCK = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is no text of the page, whatever it looks like.
-RAW = frozenset("script style template textarea title noscript iframe svg math object select head".split())
+RAW = frozenset("script style template textarea title iframe select head".split())
 #: Of these the end is the next end tag of the name, whatever lies between.
 OPAQUE = frozenset("script style textarea title".split())
+#: Any other start tag, and any text, ends a head that was left open.
+IN_HEAD = frozenset("base basefont bgsound head html link meta noscript script style template title".split())
 #: An open element that a start tag ends, and where the search for it stops.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 ENDS_P = BLOCK - {"body", "html", "head", "button", "title"}
@@ -56,7 +58,15 @@ class _Reader:
             self.out.append(Block(joined, tuple(e.tag for e in self.stack), tuple(e.marks for e in self.stack if e.marks), min(self.linked, len(joined)), self.links))
         self.text, self.linked, self.links = [], 0, 0
 
+    def end_head(self) -> None:
+        """Ends the head if it, or a noscript in it, is the innermost element."""
+        inner = [e.tag for e in self.stack[-2:]]
+        if inner[-1:] == ["head"] or inner == ["head", "noscript"]:
+            self.close_within({"head"}, frozenset())
+
     def take(self, text: str) -> None:
+        if self.raw and text and not text.isspace():
+            self.end_head()
         if text and not self.raw:
             self.text.append(text)
             if self.anchors:
@@ -77,6 +87,8 @@ class _Reader:
                 return
 
     def start(self, tag: str, attributes: str) -> None:
+        if self.raw and tag not in IN_HEAD:
+            self.end_head()
         if tag in BLOCK:
             self.flush()
         elif tag == "br":

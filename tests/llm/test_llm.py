@@ -531,3 +531,22 @@ def test_viterbi_is_the_best_chain(crf):
 def test_blocks_survive_broken_markup():
     assert [b.text for b in blocks("<p>a<p>b<b>c<div>d</p>e</i><br>f<script>x</script")] == ["a", "bc", "d", "e f"]
     assert [b.text for b in blocks("<td>a<td>b<!-- c <p> --><style>d</style>&nbsp;e")] == ["a", "b e"]
+
+
+def test_blocks_after_a_head_left_open():
+    told = lambda page: [b.text for b in blocks(page)]
+    assert told("<html><head><title>T</title><meta name=a><h1>A</h1><p>b") == ["A", "b"]
+    assert told("<head><title>T</title> <script>x</script>plain text<p>b") == ["plain text", "b"]
+    assert told("<head><noscript><link href=x></noscript><template><p>no</p></template><title>T</title></head><p>b") == ["b"]
+    assert told("<head><noscript><img src=x></noscript><title>T</title></head><body><p>b") == ["b"]
+
+
+def test_extraction_keeps_formulas_and_fallback_text(crf):
+    held = "<p>The area is <math><mi>a</mi><mo>=</mo><mi>bc</mi></math> for a plain rectangle of these sides.</p><noscript><p>The chart shows how the area grows with both of the sides.</p></noscript><object data=x><p>The drawing shows a rectangle of these sides.</p></object><svg><text>side b</text><path d=x /></svg><p>The next paragraph of the story ends the article here.</p>"
+    page = PAGE.replace("<p>Short.</p>", held)
+    got = html_extraction.extract(crf, [page])[0]
+    for told in ("The area is a=bc for a plain", "The chart shows how", "The drawing shows a rectangle", "side b", "ends the article here."):
+        assert told in got
+    assert "Menu one" not in got
+    notice = PAGE.replace("<header", "<noscript>Please enable JavaScript.</noscript><header", 1)
+    assert html_extraction.extract(crf, [notice]) == html_extraction.extract(crf, [PAGE])
