@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from basewise.functions.cells import ratio
 from basewise.functions.stats import normal_cdf, one_sample, welch
-from basewise.operators.masks import SITE, mask, strand_conflict
-from basewise.operators.variants import allele_votes, modal_and_second
+from basewise.operators.masks import SITE, drop_monomorphic, drop_positions, drop_samples, keep_positions, mask, strand_conflict
+from basewise.operators.variants import allele_votes, ambiguity, modal_and_second
 
 CLIP = 10.0
 FEATURES = ["fwd_share", "rev_share", "fwd_depth", "rev_depth", "fwd", "rev", "qual", "indel"]
@@ -105,17 +105,71 @@ def contaminated_cells(cells: DataFrame, call: str) -> DataFrame:
     return df.withColumns({"minor_max": minor_max, "contaminated": many & minor_max}).drop("__minor", "__n", "__least")
 
 
-def depth_masks(cells: DataFrame, call: str, median_depth: float, n_samples: int) -> DataFrame:
+def depth_masks(cells: DataFrame, call: str, median_depth: float | Column, n_samples: int | Column) -> DataFrame:
     """cells with depth_call: strand, frequency and depth masks of the path."""
     f, r = F.col("fwd_cov"), F.col("rev_cov")
+    depth, n = F.lit(median_depth), F.lit(n_samples)
     bad = (f < 1) | (r < 1) | strand_conflict() | (F.col("major_freq") < 0.7)
-    if median_depth > 9:
-        bad = bad | ((f == 1) & (r < 4)) | ((f < 4) & (r == 1))
-    if median_depth > 20 and n_samples > 50:
-        bad = bad | (f < 4) | (r < 4)
+    bad = bad | ((depth > 9) & (((f == 1) & (r < 4)) | ((f < 4) & (r == 1))))
+    bad = bad | ((depth > 20) & (n > 50) & ((f < 4) | (r < 4)))
     return cells.withColumn("depth_call", mask(F.col(call), bad))
 
 
+def adaptive_mask(cells: DataFrame, call: str) -> DataFrame:
+    """cells with adaptive_call: thin cells of ambiguous positions masked.
+
+    Only in groups whose data are deep: over ten positions, or a tenth of them,
+    keep over half their modal samples without the cells under 11 on both
+    strands.  Calls without a strand count as N.
+    """
+    f, r = F.col("fwd_cov"), F.col("rev_cov")
+    both = cells.withColumn("__both", mask(F.col(call), (f < 1) | (r < 1)))
+    deep = both.withColumn("__deep", mask(F.col("__both"), (f < 11) & (r < 11)))
+    modal = lambda code: allele_votes(deep, code).select(*SITE, F.greatest(*(f"n{i}" for i in (1, 2, 3, 4))).alias(f"of{code}"))
+    site = modal("__both").join(modal("__deep"), SITE)
+    kept = F.count_if(ratio(F.col("of__deep"), F.col("of__both")) > 0.5)
+    on = site.groupBy("group_id").agg(((kept > 10) | (kept >= 0.1 * F.count(F.lit(1)))).alias("__on"))
+    seen = ambiguity(cells).select(*SITE, (F.col("frac_ambiguous") > 0).alias("__seen"))
+    df = both.join(F.broadcast(on), "group_id").join(seen, SITE)
+    return df.withColumn("adaptive_call", mask(F.col("__both"), F.col("__on") & F.col("__seen") & (f < 3) & (r < 3))).drop("__both", "__on", "__seen")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df without its lineage: every step below joins its input to itself, and
+    the plan would grow with the product of all steps."""
+    if df.sparkSession.sparkContext.getCheckpointDir() is None:  # one machine
+        return df.localCheckpoint()
+    return df.checkpoint()
+
+
+def scorable(cells: DataFrame, medians: DataFrame, most: float = 45.0) -> tuple[DataFrame, DataFrame]:
+    """The tensor of what the scorer is given, and the positions flagged as gaps.
+
+    In order: samples and positions of low quality leave the tensor (most = 100
+    keeps all); the masks of strands, frequency and depth, over all samples
+    again, and the positions they leave monomorphic; contaminated cells; gaps.
+    A position that the last two remove is flagged.
+    """
+    cells = cut(cells)
+    cube = cut(features(cells, medians))
+    if most < 100:
+        lost = cut(low_quality_samples(cube, most))
+        kept = drop_samples(cube, lost)
+        bad = low_quality_positions(kept).union(low_quality_positions(kept, True).join(lost.select("group_id").distinct(), "group_id", "left_semi"))
+        cube = cut(drop_positions(kept, bad))
+    depth = medians.join(cells.select("group_id", "sample_id").distinct(), ["group_id", "sample_id"], "left_semi").groupBy("group_id").agg(F.median("median_cov").alias("__depth"))
+    n = cube.groupBy("group_id").agg(F.count_distinct("sample_id").alias("__n"))
+    held = adaptive_mask(keep_positions(cells, cube), "major_nt").join(F.broadcast(depth), "group_id", "left").join(F.broadcast(n), "group_id")
+    held = cut(depth_masks(held, "adaptive_call", F.col("__depth"), F.col("__n")).drop("__depth", "__n", "adaptive_call"))
+    before = cut(drop_monomorphic(held, "depth_call"))
+    clean = contaminated_cells(before, "depth_call").withColumn("clean_call", mask(F.col("depth_call"), F.col("contaminated")))
+    clean = cut(clean)
+    after = drop_positions(drop_monomorphic(clean, "clean_call"), gaps(gap_statistics(clean, medians, "clean_call"))).select(*SITE).distinct()
+    after = cut(after)
+    flagged = drop_positions(before.select(*SITE).distinct(), after)
+    return cut(keep_positions(cube, after)), cut(flagged)
+
+
 def gap_statistics(cells: DataFrame, medians: DataFrame, call: str) -> DataFrame:
     """Depths of the modal allele's samples against the second allele's.
 

@@ -53,20 +53,20 @@ def call_snvs(cmt: DataFrame, coverage: DataFrame, samples: DataFrame, contigs:
         cells, samples, coverage = (masks.keep_samples(x, keep) for x in (cells, samples, coverage))
     masked = masks.apply_masks(cells, coverage, contigs, params.filters).withColumn("call", F.col("call_cpn")).persist()
     tokens = masks.filter_tokens(masked)
-    anc = variants.ancestral(masked, "call", contigs).persist()
+    anc = tensor.cut(variants.ancestral(masked, "call", contigs))
     ingroup = masked.where(~F.col("in_outgroup"))
     quality = variants.mutation_quality(ingroup, "call")
     prelim = variants.fixed_mutations(ingroup, "call", anc, quality, None, params.min_mut_qual).persist()
     pairs = variants.recombinant_pairs(masked, anc, prelim, params.recomb_distance, params.recomb_r).persist()
     recomb = variants.recombinant_positions(pairs)
-    fixed = variants.fixed_mutations(ingroup, "call", anc, quality, recomb, params.min_mut_qual).persist()
+    fixed = variants.fixed_mutations(ingroup, "call", anc, quality, recomb, params.min_mut_qual)
+    fixed = tensor.cut(fixed)
     good = fixed.select(*SITE).distinct()
     medians = chromosome_median(coverage, contigs)
     inner = cells.where(~F.col("in_outgroup"))
     poly = masks.drop_monomorphic(inner, "major_nt")
-    cube = tensor.features(poly, medians)
+    cube, gap = tensor.scorable(poly, medians, params.low_quality_share)
     scores = score(cube, weights)
-    gap = tensor.gaps(tensor.gap_statistics(poly, medians, "major_nt"))
     n = samples.count()
     sites = (
         scores.select(*SITE, "prob", "cnn")
@@ -79,7 +79,7 @@ def call_snvs(cmt: DataFrame, coverage: DataFrame, samples: DataFrame, contigs:
         .persist()
     )
     wanted = sites.where((F.col("cnn") == 1) | (F.col("rule") == 1))
-    labels = variants.final_labels(wanted, n).persist()
+    labels = tensor.cut(variants.final_labels(wanted, n))
     filters = report.filter_table(labels, masks.fix_token(tokens, good))
     annotated = an.annotate(labels.where("good_all"), contigs, features, anc, fixed, params.promoter).persist()
     final = annotated.join(labels.where("label = 1").select(*SITE), SITE, "left_semi")

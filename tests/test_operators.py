@@ -202,3 +202,28 @@ def test_evaluation(spark):
     df = spark.createDataFrame([(1, 0.9), (0, 0.8), (1, 0.7), (0, 0.1), (1, 0.1)], "label int, prob double")
     got = score.evaluation(df).first()
     assert abs(got.auc - 3.5 / 6) < 1e-12 and got.precision == 2 / 3 and got.recall == 2 / 3
+
+
+def test_the_scorer_is_given_filtered_positions(spark, genome):
+    from basewise.plans.caller import call_snvs
+    from basewise.sources import adapter
+
+    a, t, none = (12, 0, 0, 0, 12, 0, 0, 0), (0, 12, 0, 0, 0, 12, 0, 0), (0,) * 8
+    at = {  # p: the majority's counts, sample 0's, the minority's
+        1: (a, a, t),
+        2: (a, a, (0, 12, 0, 0, 12, 0, 0, 0)),  # the strands disagree
+        3: (a, a, (4, 6, 0, 0, 4, 6, 0, 0)),  # frequency 0.6
+        4: (a, a, (0, 2, 0, 0, 0, 1, 0, 0)),  # one read on a strand
+        5: (a, a, (20, 150, 0, 0, 20, 150, 0, 0)),  # contaminated
+        6: (a, (12, 1, 0, 0, 12, 1, 0, 0), (0, 2, 0, 0, 0, 2, 0, 0)),  # thin and ambiguous
+        7: (a, a, (0, 2, 0, 0, 0, 2, 0, 0)),  # thin only
+    }
+    rows = [(s, p, False, (first if s == 0 else few if s in (2, 3) else none if s == 5 else most), 40) for p, (most, first, few) in at.items() for s in range(6)]
+    coverage = spark.createDataFrame([(1, s, p, 24) for s in range(6) for p in range(1, 21)], "group_id int, sample_id int, p long, cov long")
+    samples = spark.createDataFrame([(s, f"s{s}", False, 1, "PE") for s in range(6)], "sample_id int, sample_name string, in_outgroup boolean, group_id int, seq_type string")
+    out = call_snvs(cells(spark, rows), coverage, samples, genome, adapter.features(spark), weights=score.random_weights())
+    assert {r.p for r in out["scores"].collect()} == {1, 7}
+    assert {r.p for r in out["gaps"].collect()} == {5}
+    assert {r.sample_id for r in out["tensor"].select("sample_id").distinct().collect()} == {0, 1, 2, 3, 4}
+    assert {r.genome_pos for r in out["filters"].where("cnn_prob <> 'skip'").collect()} <= {1, 7}
+    spark.catalog.clearCache()
