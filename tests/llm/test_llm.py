@@ -101,36 +101,79 @@ def test_components(spark):
 # --- 2
 
 
+def plain_search(rows, k=20):
+    """[(vec_id, integers)] -> Counter of (query_id, rank, vec_id, score), by Python's integers."""
+    out = Counter()
+    for i, (q, x) in enumerate(rows):
+        if q % 20 == 0:
+            told = sorted((-sum(a * b for a, b in zip(x, y, strict=True)), v) for j, (v, y) in enumerate(rows) if j != i)
+            out.update((q, n + 1, v, -s) for n, (s, v) in enumerate(told[:k]))
+    return out
+
+
+def answers(df):
+    return Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in df.collect())
+
+
 @pytest.mark.parametrize("dims,leaf", [(3, 4), (16, 128)])
 def test_tree_is_exact(dims, leaf):
     rng = np.random.default_rng(dims)
     x = rng.integers(-6, 6, (700, dims))
     x[200:400] = x[0]
-    ids = rng.permutation(5000)[:700]
-    tree = kdtree_search.KDTree(x, ids, leaf)
-    q = x[:30].astype(float)
-    row, hit, score = tree.search(q, ids[:30], np.full(30, kdtree_search.NONE))
+    ids, rows = rng.permutation(5000)[:700], np.arange(700)
+    tree = kdtree_search.KDTree(x, ids, rows, leaf)
+    none, zero = np.full(30, -np.inf), np.zeros(30, np.int64)
+    row, hit, score = tree.search(x[:30], rows[:30], none, zero)
     for i in range(30):
         s = (x @ x[i]).astype(int)
-        want = sorted((-v, d) for v, d in zip(s, ids, strict=True) if d != ids[i])[:20]
+        want = sorted((-v, d) for v, d, r in zip(s, ids, rows, strict=True) if r != i)[:20]
         assert sorted(zip(-score[row == i], hit[row == i], strict=True)) == want
+        # From a floor that is some hit's, all hits better than it are found.
+        at = np.full(30, -want[9][0]), np.full(30, want[9][1])
+        mine, hit2, score2 = tree.search(x[:30], rows[:30], at[0].astype(float), at[1])
+        assert set(want[:9]) <= set(zip(-score2[mine == i], hit2[mine == i], strict=True))
 
 
 def test_search(spark):
     rng = np.random.default_rng(5)
     rows = [(i, [float(v) for v in rng.standard_normal(6)]) for i in range(90)]
     rows += [(100, None), (120, [1.0, None] + [0.0] * 4), (140, [float("nan")] * 6), (160, [float("inf")] * 6), (None, [1.0] * 6), (200, rows[20][1])]
-    got = kdtree_search.top_k
     v = kdtree_search.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
-    held = {r.vec_id: np.array(r.v) for r in v.collect()}
-    assert sorted(held) == [*range(90), 200]
-    out = got(v, v.where("vec_id % 20 = 0"), k=20, shard=16).collect()
-    for q in [i for i in held if i % 20 == 0]:
-        want = sorted((-int(held[q] @ x), i) for i, x in held.items() if i != q)[:20]
-        assert [(r.rank, -r.score, r.vec_id) for r in sorted(out) if r.query_id == q] == [(k + 1, *w) for k, w in enumerate(want)]
+    held = [(r.vec_id, list(r.v)) for r in v.collect()]
+    assert sorted(i for i, _ in held) == [*range(90), 200]
+    assert answers(kdtree_search.top_k(v, F.col("vec_id") % 20 == 0, k=20, shard=16)) == plain_search(held)
+    clash = spark.createDataFrame([(*r, 1, 2, "s") for r in rows], "vec_id long, embedding array<float>, row int, shard int, rank string")
+    assert answers(kdtree_search.op2_kdtree(clash)) == plain_search(held)
     assert kdtree_search.op2_kdtree(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_search_of_repeated_rows(spark):
+    """Rows that share a vec_id are queries and candidates of their own; a
+    vector that fills most of the table is dealt over several shards."""
+    rng = np.random.default_rng(9)
+    rows = [(int(rng.integers(0, 60)), [int(v) for v in rng.integers(-9, 9, 4)]) for _ in range(80)]
+    rows += [(20, rows[0][1]), (20, rows[0][1]), (20, [5, 5, 5, 5])] + [(100 + i, [3, -2, 1, 0]) for i in range(120)]
+    v = spark.createDataFrame(rows, "vec_id long, v array<long>")
+    assert answers(kdtree_search.top_k(v, F.col("vec_id") % 20 == 0, shard=16)) == plain_search(rows)
+
+
+@pytest.mark.parametrize("size", [10**4, 10**8, 3 * 10**8])
+def test_search_of_large_components(spark, size):
+    """Doubles no longer hold the products; 64-bit integers and then Python's do."""
+    rng = np.random.default_rng(size)
+    rows = [(i, [int(v) for v in rng.integers(-size, size, 8)]) for i in range(300)]
+    rows += [(300 + i, [x + (i % 3 == 0) for x in rows[i][1]]) for i in range(60)]
+    v = spark.createDataFrame(rows, "vec_id long, v array<long>")
+    assert answers(kdtree_search.top_k(v, F.col("vec_id") % 20 == 0, shard=64)) == plain_search(rows)
+
+
+def test_products_are_exact_or_an_error():
+    x = np.array([[3 * 10**9, 1], [2, -(10**9)]])
+    assert kdtree_search.products(x[1:], x).tolist() == [[6 * 10**9 - 10**9, 4 + 10**18]]
+    with pytest.raises(ValueError):
+        kdtree_search.products(x[:1] * 2, x[:1])
+
+
 # --- 10
 
 
