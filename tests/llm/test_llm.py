@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -245,6 +246,35 @@ def test_line_dedup_edges(spark):
     assert line_dedup.op10_lines(documents(spark, [])).count() == 0
 
 
+def test_line_dedup_of_rows_that_share_a_doc_id(spark):
+    docs = documents(spark, [(1, "a\nb"), (1, "c\na"), (2, "b\nc\nd")])
+    got = sorted((r.doc_id, r.text) for r in line_dedup.dedup_lines(docs).collect())
+    kept = [x for _, t in got for x in t.split("\n") if x]
+    assert sorted(kept) == ["a", "b", "c", "d"] and got[-1] == (2, "d")
+
+
+def test_line_dedup_leaves_other_columns_alone(spark):
+    """Names that the operator uses itself, dots and nested values among them."""
+    names = ["doc", "row", "line", "at", "of", "kept", "lost", "flat", "half", "with", "key", "v", "a.b", "__kept", "__doc", "__lost"]
+    schema = "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names) + ", deep struct<doc: array<int>>"
+    rows = [(i, f"a b c d e f\nx{i // 2}", *(f"{n}{i}" for n in names), ([i],)) for i in range(4)]
+    docs = spark.createDataFrame(rows, schema)
+    got = line_dedup.dedup_lines(docs)
+    assert got.columns == docs.columns
+    want = ["a b c d e f\nx0", "", "x1", ""]
+    assert sorted(tuple(r) for r in got.collect()) == [(r[0], want[r[0]], *r[2:]) for r in sorted(rows)]
+
+
+def test_line_dedup_of_long_lines(spark):
+    """One line of very many words costs its words, not their square."""
+    rng = random.Random(12)
+    w = [rng.choice(WORDS) + str(rng.randrange(1000)) for _ in range(60_000)]
+    texts = [" ".join(w), " ".join([*w[:100], "other", *w[101:]]), " ".join(w[:50_000] + w[50_001:]), " ".join([*w[:7], "two", *w[7:40_000], "edits", *w[40_000:]]), " ".join(["more", *w])]
+    began = time.time()
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(documents(spark, list(enumerate(texts)))).collect()}
+    assert got == {0: texts[0], 1: "", 2: "", 3: texts[3], 4: ""} and time.time() - began < 60
+
+
 # --- 3
 
 
