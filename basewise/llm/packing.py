@@ -9,14 +9,21 @@ example with the greatest product is cut to fill the sequence.  What a task has
 left at its end is cut into sequences whose lengths are powers of two, which
 need no padding.
 
+pack takes examples made of parts, each of which bears loss or doesn't, and
+gives each piece with its ids and loss marks; conversations makes such examples
+of chat turns, where the assistant's words bear loss.  The query packs plain
+documents under the limits of DOCUMENTS: a document's own tokens bear loss, its
+end mark doesn't, and a sequence has at most SEGMENTS pieces.
+
 A task packs the rows it reads, a pool at a time: no shuffle, and memory is
 bounded by the pool and one text.  sequence_id holds the partition's number
 above bit 33, as monotonically_increasing_id does.
 
-Defined results: a null or empty text is one example of the end mark alone; a
-long text is cut into pieces; repeated rows and doc_ids are packed as they
-come; a null doc_id stays null; an empty table gives an empty result; extra
-columns are ignored.
+Defined results: a null or empty text, and an example without parts, is the end
+mark alone; a null part is an empty one and a null loss mark bears none; a long
+text is cut into pieces, however long its runs of white space; repeated rows and
+doc_ids are packed as they come; a null doc_id stays null; an empty table gives
+an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,12 +36,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-TOKENS, END = 1024, 0
+TOKENS, END, SEGMENTS = 1024, 0, 128
 #: Pooled examples.
 POOL = 128
+#: Turns of a conversation that make one example at most.
+TURNS = 1024
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -47,6 +56,10 @@ class Limits:
     loss: int | None = None
 
 
+#: The limits of a sequence of plain documents.
+DOCUMENTS = Limits(TOKENS, SEGMENTS, TOKENS)
+
+
 @dataclass
 class Example:
     """A run of tokens still to place; loss marks those that bear loss."""
@@ -66,6 +79,7 @@ class Piece:
     key: object
     start: int
     ids: np.ndarray
+    loss: np.ndarray
     total: int
     sequence: int
     offset: int
@@ -117,7 +131,7 @@ class Packer:
             if not n:
                 continue
             run = slice(example.start, example.start + n)
-            yield Piece(example.key, example.start, example.ids[run], len(example.ids), self.sequence, offset)
+            yield Piece(example.key, example.start, example.ids[run], example.loss[run], len(example.ids), self.sequence, offset)
             took = np.array([n, 1, int(example.loss[run].sum())])
             left -= took
             need[at] -= took * (1, 0, 1)
@@ -128,14 +142,17 @@ class Packer:
         self.sequence += 1
 
 
-def encoder(path: str, pattern: str) -> Callable[[str], list[int]]:
+def encoder(path: str, pattern: str) -> Callable[[str], np.ndarray]:
     """The ids of a byte-level tokenizer file, by tiktoken.
 
     The file's merges stand in the order of their ids, so its vocabulary is the
     merge ranks as well, and the ids are those of the tokenizers library at a
-    seventh of its time (the tests compare them).
+    seventh of its time (the tests compare them).  A text that tiktoken can't
+    split, as its expressions fail on a run of about a million white spaces, is
+    encoded by the tokenizers library itself.
     """
     import tiktoken
+    from tokenizers import Tokenizer
 
     from basewise.llm.token_counts import byte_symbols
 
@@ -144,39 +161,85 @@ def encoder(path: str, pattern: str) -> Callable[[str], list[int]]:
     symbols, special = byte_symbols(), {t["content"]: t["id"] for t in held["added_tokens"]}
     ranks = {bytes(symbols[c] for c in piece): i for piece, i in held["model"]["vocab"].items() if piece not in special}
     encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
-    return lambda text: encoding.encode(text, allowed_special="all")
 
+    def encode(text: str) -> np.ndarray:
+        try:
+            return encoding.encode_to_numpy(text, allowed_special="all")
+        except ValueError:
+            return np.array(Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids, np.uint32)
+
+    return encode
 
-def _encoded(rows: Iterator[tuple[object, str | None]], path: str, pattern: str) -> Iterator[Example]:
-    encode = encoder(path, pattern)
-    for key, text in rows:
-        ids = np.array([*encode(text or ""), END], "<u4")
-        yield Example(key, ids, np.ones(len(ids), np.int64))
 
+def _example(key: object, parts: list[tuple[str | None, bool | None]], encode: Callable[[str], np.ndarray]) -> Example:
+    """An example of parts and the end mark, which bears no loss."""
+    told = [(encode(text or ""), bool(loss)) for text, loss in parts]
+    loss = np.repeat(np.array([*(mark for _, mark in told), False], np.int8), [*(len(ids) for ids, _ in told), 1])
+    return Example(key, np.concatenate([*(ids for ids, _ in told), [END]]).astype("<u4"), loss)
 
-def pack(docs: DataFrame, tokenizer: str, pattern: str, limits: Limits = Limits()) -> DataFrame:
-    """(doc_id, text) -> one row per piece; every token of a text bears loss."""
+
+def _placed(rows: DataFrame, limits: Limits, tokenizer: str, pattern: str, of: Callable[[pa.RecordBatch], Iterator[tuple]], emit: Callable[[list[Piece]], list[pa.Array]], schema: str) -> DataFrame:
+    """The pieces of all rows, which of turns into keys and parts, by emit."""
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        context = TaskContext.get()
+        context, encode = TaskContext.get(), encoder(tokenizer, pattern)
         base = (context.partitionId() if context else 0) << 33
         packer, out = Packer(limits), []
 
         def told() -> pa.RecordBatch:
-            ids = [zlib.crc32(p.ids.tobytes()) for p in out]
-            columns = [[p.key for p in out], [p.start for p in out], [len(p.ids) for p in out], ids, [p.total for p in out], [base + p.sequence for p in out], [p.offset for p in out]]
+            where = [pa.array([base + p.sequence for p in out], pa.int64()), pa.array([p.offset for p in out], pa.int64())]
+            batch = pa.RecordBatch.from_arrays([*emit(out), *where], [c.split()[0] for c in schema.split(", ")])
             out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], [c.split()[0] for c in SCHEMA.split(", ")])
+            return batch
 
-        rows = ((k.as_py(), t.as_py()) for batch in batches for k, t in zip(batch.column(0), batch.column(1), strict=True))
-        for example in _encoded(rows, tokenizer, pattern):
-            out.extend(packer.add(example))
-            if len(out) >= 10_000:
-                yield told()
+        for batch in batches:
+            for key, parts in of(batch):
+                out.extend(packer.add(_example(key, parts, encode)))
+                if len(out) >= 10_000:
+                    yield told()
         out.extend(packer.finish())
         yield told()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(place, SCHEMA)
+    return rows.mapInArrow(place, schema)
+
+
+def _longs(values: list[int | None]) -> pa.Array:
+    return pa.array(values, pa.int64())
+
+
+def pack(examples: DataFrame, limits: Limits, tokenizer: str, pattern: str) -> DataFrame:
+    """(key long, parts array<struct<text, loss>>) -> pieces with ids and marks:
+    key, start, length, ids, loss, tokens, sequence_id, offset."""
+
+    def of(batch: pa.RecordBatch) -> Iterator[tuple]:
+        for key, parts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            yield key, [(p["text"], p["loss"]) if p else (None, None) for p in parts or []]
+
+    def emit(out: list[Piece]) -> list[pa.Array]:
+        ids = pa.array([p.ids.astype(np.int32) for p in out], pa.list_(pa.int32()))
+        loss = pa.array([p.loss.astype(bool) for p in out], pa.list_(pa.bool_()))
+        return [_longs([p.key for p in out]), _longs([p.start for p in out]), _longs([len(p.ids) for p in out]), ids, loss, _longs([p.total for p in out])]
+
+    parts = F.transform("parts", lambda p: F.struct(p["text"].cast("string").alias("text"), p["loss"].cast("boolean").alias("loss")))
+    rows = examples.select(F.col("key").cast("long").alias("key"), parts.alias("parts"))
+    return _placed(rows, limits, tokenizer, pattern, of, emit, "key long, start long, length long, ids array<int>, loss array<boolean>, tokens long, sequence_id long, offset long")
+
+
+def conversations(turns: DataFrame, bears: str = "assistant") -> DataFrame:
+    """(conv_id, turn, role, text) -> (key, parts) for pack, a row a conversation.
+
+    Turns in order, each led by its role; only the text of the role named bears
+    loss.  Repeated turns stay, ordered by their text; a null turn comes first,
+    and turns without a conv_id are one conversation.  A conversation of over
+    TURNS turns makes several examples, so that no row is unbounded.
+    """
+    w = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    block = F.floor((F.row_number().over(w) - 1) / TURNS).alias("block")
+    held = turns.select(F.col("conv_id").cast("long").alias("conv_id"), "turn", F.coalesce(F.col("role"), F.lit("")).alias("role"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    told = held.select("conv_id", block, F.row_number().over(w).alias("at"), "role", "text").groupBy("conv_id", "block")
+    ordered = told.agg(F.array_sort(F.collect_list(F.struct("at", "role", "text"))).alias("turns"))
+    led = F.transform("turns", lambda t: F.array(F.struct(F.concat(t["role"], F.lit(": ")).alias("text"), F.lit(False).alias("loss")), F.struct(F.concat(t["text"], F.lit("\n")).alias("text"), (t["role"] == bears).alias("loss"))))
+    return ordered.select(F.col("conv_id").alias("key"), F.flatten(led).alias("parts"))
 
 
 def default_tokenizer() -> str:
@@ -185,8 +248,17 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def op5_pack(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
+def op5_pack(docs: DataFrame, tokenizer: str | None = None, limits: Limits = DOCUMENTS) -> DataFrame:
     """One row per piece of every document."""
     import public_tokenizers
 
-    return pack(docs, tokenizer or default_tokenizer(), public_tokenizers.PATTERN)
+    def of(batch: pa.RecordBatch) -> Iterator[tuple]:
+        for key, text in zip(batch.column(0), batch.column(1), strict=True):
+            yield key.as_py(), [(text.as_py(), True)]
+
+    def emit(out: list[Piece]) -> list[pa.Array]:
+        digest = _longs([zlib.crc32(p.ids.tobytes()) for p in out])
+        return [_longs([p.key for p in out]), _longs([p.start for p in out]), _longs([len(p.ids) for p in out]), digest, _longs([p.total for p in out])]
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return _placed(rows, limits, tokenizer or default_tokenizer(), public_tokenizers.PATTERN, of, emit, SCHEMA)

@@ -367,8 +367,8 @@ def test_encoder_equals_the_tokenizers_library():
 
     path, pattern = tokenizer()
     plain, encode = Tokenizer.from_file(path), packing.encoder(path, pattern)
-    for text in ODD:
-        assert encode(text) == plain.encode(text, add_special_tokens=False).ids
+    for text in [*ODD, " " * 2_000_000 + "a", "\n" * 1_000_000, "ab\u3000\t" * 300_000 + "\t" * 900_000]:
+        assert encode(text).tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
 def test_packing_round_trip(spark):
@@ -400,6 +400,49 @@ def test_packing_round_trip(spark):
     assert packing.op5_pack(documents(spark, [])).count() == 0
 
 
+def test_packing_of_a_very_long_run(spark):
+    texts = {1: " " * 2_000_000 + "a", 2: "short"}
+    told = packing.op5_pack(documents(spark, list(texts.items()))).collect()
+    assert {r.doc_id: r.doc_tokens for r in told} == {i: sum(r.length for r in told if r.doc_id == i) for i in texts}
+
+
+@pytest.mark.parametrize("shut", ["tokens", "segments", "loss"])
+def test_packing_closes_a_sequence_by_each_limit(spark, shut):
+    """The same conversations under limits of which one binds."""
+    path, pattern = tokenizer()
+    rows = [(c, t, ("user", "assistant")[t % 2], " ".join(WORDS[: 3 + (c * 7 + t) % 9])) for c in range(60) for t in range(1 + c % 5)]
+    turns = spark.createDataFrame([*rows, (70, None, None, None), (None, 0, "user", "lost")], "conv_id long, turn long, role string, text string").coalesce(1)
+    limits = {"tokens": packing.Limits(64, 50, 64), "segments": packing.Limits(512, 3, 512), "loss": packing.Limits(512, 50, 24)}[shut]
+    got = packing.pack(packing.conversations(turns).coalesce(1), limits, path, pattern).collect()
+    held = {}
+    for r in got:
+        assert r.length == len(r.ids) == len(r.loss)
+        held.setdefault(r.sequence_id, []).append(r)
+    full = 0
+    for of in held.values():
+        use = {"tokens": sum(r.length for r in of), "segments": len(of), "loss": sum(sum(r.loss) for r in of)}
+        most = {"tokens": limits.tokens, "segments": limits.segments, "loss": limits.loss}
+        assert all(use[k] <= most[k] for k in use)
+        full += use[shut] == most[shut] and all(use[k] < most[k] for k in use if k != shut)
+    assert full >= len(held) / 3
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(path)
+    for c in {r[0] for r in rows}:
+        parts = [x for _, _, role, text in sorted(r for r in rows if r[0] == c) for x in ((f"{role}: ", False), (f"{text}\n", role == "assistant"))]
+        want = [(i, loss) for text, loss in parts for i in plain.encode(text, add_special_tokens=False).ids] + [(0, False)]
+        own = sorted((r for r in got if r.key == c), key=lambda r: r.start)
+        assert [x for r in own for x in zip(r.ids, r.loss, strict=True)] == want
+
+
+def test_packing_of_many_empty_texts(spark):
+    docs = documents(spark, [(i, "" if i % 4 else " ".join(WORDS * 30)) for i in range(2000)])
+    rows, held = packing.op5_pack(docs).collect(), Counter()
+    for r in rows:
+        held[r.sequence_id] += 1
+    assert sum(r.length for r in rows if r.doc_id % 4) == 1500 and max(held.values()) <= packing.SEGMENTS
+
+
 def test_packing_keeps_every_limit():
     rng, limits = random.Random(3), packing.Limits(tokens=100, segments=4, loss=30)
     packer, pieces, want = packing.Packer(limits, pool=8), [], {}
