@@ -3,12 +3,12 @@
 A window of 256 bytes is embedded, convolved with filters of several widths,
 max-pooled and classified by a softmax.  A text's windows cover it whole; its
 languages are ranked by the mean of their log-probabilities, weighted by bytes.
-The network is trained in numpy on the driver from a bounded sample of labelled
-documents that aren't held out: SAMPLE documents, by hash order, three windows
-each.  Only text goes into a prediction.
+The network is trained in numpy on the driver from a bounded sample: TRAINED
+windows, by hash order, of all windows of SAMPLE labelled documents that aren't
+held out, whole texts again.  Only text goes into a prediction.
 
-Defined results: a null text, or one without a letter, gives ``und`` and score
-0; repeated rows keep their rows; a null doc_id is held out if the remainder of
+Defined results: a null text, or one without a letter (of Unicode's category
+L), gives ``und`` and score 0; repeated rows keep their rows; a null doc_id is held out if the remainder of
 nothing is asked (held_out is null) and never trains; null labels never train;
 with no labelled row at all every text is ``und``; an empty table gives an
 empty result; extra columns are ignored.
@@ -16,7 +16,6 @@ empty result; extra columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,10 +24,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE, WINDOWS, LENGTH = 2000, 3, 256
+SAMPLE, TRAINED, LENGTH = 2000, 8000, 256
 WIDTHS, FILTERS, EMBED = (2, 3, 4), 16, 8
 EPOCHS, BATCH, RATE = 6, 64, 4e-3
-LETTER = re.compile(r"[^\W\d_]")
 #: Windows that go through the network at once.
 AT_ONCE = 32
 
@@ -38,6 +36,11 @@ def remainder(doc_id: str, of: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % of
 
 
+def has_letter(text: str | None) -> bool:
+    """Whether any character is of Unicode's category L."""
+    return any(map(str.isalpha, text or ""))
+
+
 def windows(data: bytes, length: int = LENGTH) -> np.ndarray:
     """A text's bytes in rows of fixed length, zeros at the end."""
     n = max(1, -(-len(data) // length))
@@ -136,7 +139,7 @@ def predict(model: ByteCNN | None, texts: list[str | None]) -> tuple[list[str],
     if model is None:
         return langs, scores
     filters = model.filters()
-    asked = [i for i, t in enumerate(texts) if t and LETTER.search(t)]
+    asked = [i for i, t in enumerate(texts) if has_letter(t)]
     sums = np.zeros((len(texts), len(model.langs)))
     sizes = np.zeros(len(texts))
 
@@ -170,21 +173,30 @@ def predict(model: ByteCNN | None, texts: list[str | None]) -> tuple[list[str],
     return langs, scores
 
 
-def train(docs: DataFrame, sample: int = SAMPLE) -> ByteCNN | None:
-    """A network from up to sample labelled documents that aren't held out."""
+def train(docs: DataFrame, sample: int = SAMPLE, trained: int = TRAINED) -> ByteCNN | None:
+    """A network from up to trained windows of up to sample labelled documents."""
     known = docs.where((remainder("doc_id", 5) != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     ids = known.select(F.col("doc_id").alias("__id")).distinct().orderBy(F.xxhash64("__id"), "__id").limit(sample)
-    size = F.char_length("text")
-    step = F.greatest(F.lit(0), size - LENGTH) / F.lit(max(WINDOWS - 1, 1))
-    parts = F.array(*(F.substring("text", F.floor(step * i).cast("int") + 1, F.lit(LENGTH)) for i in range(WINDOWS)))
-    rows = known.join(F.broadcast(ids), F.col("doc_id") == F.col("__id")).select("doc_id", "lang", F.array_distinct(parts).alias("parts"))
-    held = sorted((r.lang, r.doc_id, p) for r in rows.toLocalIterator() for p in r.parts if LETTER.search(p))
-    if not held:
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, lang, text in zip(*batch.columns, strict=True):
+                x = windows(text.as_py().encode("utf-8"))
+                told = [i for i, row in enumerate(x) if has_letter(row.tobytes().decode("utf-8", "ignore"))]
+                for s in range(0, len(told), 4096):
+                    at = told[s : s + 4096]
+                    columns = [pa.array([key.as_py()] * len(at), pa.int64()), pa.array([lang.as_py()] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array([x[i].tobytes() for i in at], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang", "at", "x"])
+
+    rows = known.join(F.broadcast(ids), F.col("doc_id") == F.col("__id")).select("doc_id", "lang", "text")
+    told = rows.mapInArrow(cut, "doc_id long, lang string, at int, x binary").orderBy(F.xxhash64("doc_id", "at", "x"), "lang").limit(trained)
+    held = told.toArrow().sort_by([(c, "ascending") for c in ("lang", "doc_id", "at", "x")])
+    if not held.num_rows:
         return None
-    langs = sorted({x[0] for x in held})
-    x = np.concatenate([windows(p.encode("utf-8")[:LENGTH]) for _, _, p in held])
-    y = np.array([langs.index(name) for name, _, _ in held])
-    return ByteCNN.new(langs).train(x, y)
+    names = held.column("lang").to_pylist()
+    langs = sorted(set(names))
+    x = np.frombuffer(b"".join(held.column("x").to_pylist()), np.uint8).reshape(-1, LENGTH)
+    return ByteCNN.new(langs).train(x, np.array([langs.index(name) for name in names]))
 
 
 def op4_language(docs: DataFrame) -> DataFrame:

@@ -504,16 +504,25 @@ def test_language(spark):
     rng = random.Random(1)
     langs = {i: rng.choice(["xx", "yy"]) for i in range(160)}
     texts = [(i, tongue(rng, langs[i], rng.choice([4, 40, 400]))) for i in langs]
-    extra = [(500, None), (501, ""), (502, "123 !!"), (None, "kro bra")]
+    extra = [(500, None), (501, ""), (502, "123 !!"), (503, "½ ²"), (504, "Ⅷ ① ٣ _"), (None, "kro bra")]
     got = {r.doc_id: r for r in language_id.op4_language(documents(spark, texts + extra, langs)).collect()}
     held = [i for i in langs if zlib.crc32(str(i).encode()) % 5 == 0]
     assert {i for i in langs if got[i].held_out} == set(held)
     assert sum(got[i].lang_pred == langs[i] for i in held) >= 0.95 * len(held)
-    assert all(got[i].lang_pred == "und" and got[i].score == 0 for i in (500, 501, 502))
+    assert all(got[i].lang_pred == "und" and got[i].score == 0 for i in range(500, 505))
     assert all(0 <= r.score <= 1 for r in got.values())
     assert language_id.op4_language(documents(spark, [])).count() == 0
 
 
+def test_language_learns_from_the_whole_text(spark):
+    """What tells the languages apart stands behind the first thousands of words."""
+    rng = random.Random(5)
+    langs = {i: rng.choice(["xx", "yy"]) for i in range(60)}
+    texts = [(i, " ".join([tongue(rng, "xx", 300)] + [tongue(rng, langs[i], 900)])) for i in langs]
+    got = {r.doc_id: r.lang_pred for r in language_id.op4_language(documents(spark, [*texts, (900, tongue(rng, "yy", 80))], langs)).collect()}
+    assert got[900] == "yy" and sum(got[i] == langs[i] for i in langs) >= 57
+
+
 def test_network_gradients():
     rng = np.random.default_rng(0)
     model = language_id.ByteCNN.new(["a", "b", "c"])
