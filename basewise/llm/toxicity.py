@@ -7,11 +7,12 @@ p E+[l(z)] + max(0, Eu[l(-z)] - p E+[l(-z)]): the second term estimates the
 risk of the texts that aren't toxic, and where it turns negative the step
 undoes the overfitting instead.  Only features that stand out in the toxic
 sample against the unlabelled one get a weight, so a long clean text gathers no
-score from its length.
+score from its length (README has the figures without this screen).
 
 Labels are learnt only from documents that aren't held out, from bounded
 samples by hash order: POSITIVE toxic texts and UNLABELLED texts of any kind.
-The prior is the share of toxic labels among those learnt from.  The cut is the
+The prior is a parameter; unless given it is the share of toxic labels among
+those learnt from.  The cut is the
 one with the greatest recall less twice the share of the other texts called
 toxic, estimated without negatives; scores are shifted to have it at 0.7.
 
@@ -28,7 +29,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -83,6 +84,22 @@ def screened(positive: list[np.ndarray], unlabelled: list[np.ndarray]) -> np.nda
     return np.flatnonzero((a >= LEAST) & (z > STANDS_OUT))
 
 
+def risk(z: np.ndarray, n: int, prior: float) -> tuple[float, float]:
+    """Two parts of the risk at logits z, of which the first n are positive: that
+    of the toxic texts, and the estimate for all others, which can be negative."""
+    s = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+    return prior * (1 - s[:n]).mean(), s[n:].mean() - prior * s[:n].mean()
+
+
+def slopes(z: np.ndarray, n: int, prior: float) -> np.ndarray:
+    """By logit: of both parts, or, where the second is negative, of its undoing."""
+    s = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+    slope, u = s * (1 - s), len(z) - n
+    if risk(z, n, prior)[1] >= 0:
+        return np.r_[-2 * prior * slope[:n] / n, slope[n:] / u]
+    return np.r_[prior * slope[:n] / n, -slope[n:] / u]
+
+
 def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = STEPS) -> Model:
     """Non-negative PU learning by Adam on the sigmoid loss."""
     kept = screened(positive, unlabelled)
@@ -96,12 +113,7 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     m, v = np.zeros(k + 1), np.zeros(k + 1)
     logits = lambda: w[k] + np.bincount(own, weights=w[ids], minlength=n + u)
     for step in range(1, steps + 1):
-        s = 1 / (1 + np.exp(-np.clip(logits(), -40, 40)))
-        slope, g = s * (1 - s), np.empty(n + u)
-        if s[n:].mean() >= prior * s[:n].mean():
-            g[:n], g[n:] = -2 * prior * slope[:n] / n, slope[n:] / u
-        else:  # the risk of the other texts is negative: step back from it
-            g[:n], g[n:] = prior * slope[:n] / n, -slope[n:] / u
+        g = slopes(logits(), n, prior)
         grad = np.r_[np.bincount(ids, weights=g[own], minlength=k) + DECAY * w[:k], g.sum()]
         m += 0.1 * (grad - m)
         v += 0.001 * (grad * grad - v)
@@ -118,13 +130,14 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     return Model(dict(zip(kept.tolist(), w[:k].tolist(), strict=True)), float(w[k]), float(cuts[int(worth.argmax())]), 1.0)
 
 
-def train(docs: DataFrame, labels: DataFrame, positive: int = POSITIVE, unlabelled: int = UNLABELLED) -> Model | None:
+def train(docs: DataFrame, labels: DataFrame, positive: int = POSITIVE, unlabelled: int = UNLABELLED, prior: float | None = None) -> Model | None:
     """(doc_id, text), (doc_id, toxic) -> a model, from bounded samples."""
     open_ = remainder("doc_id", 3) != 1
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic").where(open_ & F.col("toxic").isNotNull())
-    prior = known.agg(F.avg(F.col("toxic").cast("double"))).first()[0]
-    if not prior:
+    share = known.agg(F.avg(F.col("toxic").cast("double"))).first()[0]
+    if not share:
         return None
+    prior = share if prior is None else prior
     by_hash = lambda df, n: df.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     chosen = by_hash(known.where("toxic = 1"), positive).withColumn("p", F.lit(True))
     chosen = chosen.unionByName(by_hash(docs.where(open_), unlabelled).withColumn("p", F.lit(False)))
@@ -142,32 +155,42 @@ def train(docs: DataFrame, labels: DataFrame, positive: int = POSITIVE, unlabell
     return fit(told[:n], told[n:], float(prior)) if 0 < n < len(told) else None
 
 
+def scorer(model: Model | None) -> Callable[[pa.Array], np.ndarray]:
+    """Scores of whole texts; words met before are remembered."""
+    known: dict[str, tuple[int, ...]] = {}
+
+    def of(texts: pa.Array) -> np.ndarray:
+        scores = np.zeros(len(texts))
+        if model is None:
+            return scores
+        weights = model.weights
+        for i, text in enumerate(texts):
+            live: set[int] = set()
+            for word in set(WORD.findall((text.as_py() or "").lower())):
+                got = known.get(word)
+                if got is None:
+                    got = tuple(f for f in word_features(word) if f in weights)
+                    if len(known) >= REMEMBERED:
+                        known.clear()
+                    known[word] = got
+                if got:
+                    live.update(got)
+            scores[i] = model.bias + sum(weights[f] for f in sorted(live))
+        return model.score(scores)
+
+    return of
+
+
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted for every row of docs."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, known = model.value, {}
+        score = scorer(model.value)
         for batch in batches:
-            scores = np.zeros(batch.num_rows)
-            if held is not None:
-                weights = held.weights
-                for i, text in enumerate(batch.column(2)):
-                    live: set[int] = set()
-                    for word in set(WORD.findall((text.as_py() or "").lower())):
-                        got = known.get(word)
-                        if got is None:
-                            got = tuple(f for f in word_features(word) if f in weights)
-                            if len(known) >= REMEMBERED:
-                                known.clear()
-                            known[word] = got
-                        if got:
-                            live.update(got)
-                    scores[i] = held.bias + sum(weights[f] for f in sorted(live))
-                scores = held.score(scores)
-            predicted = (scores >= CUT).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores), pa.array(predicted)], ["doc_id", "held_out", "score", "predicted"])
+            scores = score(batch.column(2))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores), pa.array((scores >= CUT).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
     rows = docs.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "text")
     return rows.mapInArrow(make, "doc_id long, held_out boolean, score double, predicted int")
@@ -178,6 +201,18 @@ def op8_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents that aren't called toxic; all columns stay."""
-    lost = scored(docs, labels).where("predicted = 1").select(F.col("doc_id").alias("__lost")).distinct()
-    return docs.join(lost, docs["doc_id"] == lost["__lost"], "left_anti")
+    """Rows whose text isn't called toxic; all columns stay.
+
+    Each row is judged by its own text, so rows that share a doc_id with a toxic
+    one stay, and no join is needed.
+    """
+    held = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    model = docs.sparkSession.sparkContext.broadcast(train(held, labels))
+    at, schema = docs.columns.index("text"), docs.schema
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = scorer(model.value)
+        for batch in batches:
+            yield batch.filter(pa.array(score(batch.column(at)) < CUT))
+
+    return docs.mapInArrow(keep, schema)

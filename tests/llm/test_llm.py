@@ -565,6 +565,47 @@ def test_toxicity(spark):
     assert {r.score for r in toxicity.op8_toxicity(docs, none).collect()} == {0.0}
 
 
+def test_rows_are_judged_by_their_own_text(spark):
+    rng = random.Random(6)
+    texts = [(i, prose(rng, 60) + " vile scum rotter" * (i % 4 == 0)) for i in range(400)]
+    texts += [(0, prose(rng, 50)), (None, prose(rng, 50)), (None, prose(rng, 50) + " vile scum rotter")]
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(400)], "doc_id long, quality int, toxic int")
+    kept = Counter(r.text for r in toxicity.without_toxic(documents(spark, texts), labels).collect())
+    assert kept == Counter(t for _, t in texts if "vile" not in t)
+
+
+@pytest.mark.parametrize("negative", [False, True])
+def test_risk_gradient(negative):
+    """Of the non-negative risk, against finite differences in the logits."""
+    rng = np.random.default_rng(2)
+    z = rng.standard_normal(30)
+    z[:12], z[12:] = z[:12] + 2 * negative, z[12:] - 3 * negative
+
+    def worth():
+        toxic, rest = toxicity.risk(z, 12, 0.4)
+        assert (rest < 0) == negative
+        return -rest if negative else toxic + rest
+
+    got = toxicity.slopes(z, 12, 0.4)
+    for i in range(len(z)):
+        was = z[i]
+        z[i] = was + 1e-6
+        up = worth()
+        z[i] = was - 1e-6
+        down = worth()
+        z[i] = was
+        assert abs((up - down) / 2e-6 - got[i]) < 1e-8
+
+
+def test_risk_by_hand():
+    """Against the sums of the definition, one text at a time."""
+    z, prior = np.array([0.3, -1.2, 0.8, 2.0, -0.5]), 0.25
+    loss = lambda x: 1 / (1 + np.exp(x))
+    toxic = prior * (loss(0.3) + loss(-1.2)) / 2
+    rest = (loss(-0.8) + loss(-2.0) + loss(0.5)) / 3 - prior * (loss(-0.3) + loss(1.2)) / 2
+    assert np.allclose(toxicity.risk(z, 2, prior), (toxic, rest))
+
+
 @pytest.mark.parametrize("n", [1, 2, 3])
 def test_few_toxic_labels_empty_no_corpus(spark, n):
     rng = random.Random(4)
