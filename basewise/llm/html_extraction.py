@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basewise.llm.html_blocks import Block, blocks
+from basewise.llm.html_blocks import Block, Place, blocks
 from basewise.llm.labelled_pages import NAMES, PageMaker, labelled
 
 TRAINED, SEED, STEPS, RATE, DECAY = 600, 2024, 80, 0.1, 1e-4
@@ -47,10 +47,10 @@ WORDS = {
 }
 CUES = {w: kind for kind, told in WORDS.items() for w in told.split()}
 SPLIT = re.compile(r"[^a-z]+")
-HIDDEN = re.compile(r"display:\s*none|visibility:\s*hidden|(?:^| )hidden=|aria-hidden=true")
 PARTS = {kind: frozenset(p for name in names for p in SPLIT.split(name) if len(p) > 1) for kind, names in NAMES.items()}
 _KINDS = {part: tuple(kind for kind, parts in PARTS.items() if part in parts) for parts in PARTS.values() for part in parts}
 ROLES = frozenset("navigation banner contentinfo complementary search main article form dialog alert".split())
+KNOWN = ROLES | frozenset(_KINDS)
 
 
 @functools.lru_cache(maxsize=100_000)
@@ -59,24 +59,19 @@ def _id(told: str) -> int:
 
 
 @functools.lru_cache(maxsize=50_000)
-def _place(tags: tuple[str, ...], marks: tuple[str, ...]) -> tuple[int, ...]:
+def _place(place: Place) -> tuple[int, ...]:
     """Features of the ancestors, remembered: blocks share their place."""
-    told = {f"tag {t}" for t in tags}
-    told.add(f"leaf {tags[-1] if tags else ''}")
-    told.add(f"above {' '.join(tags[-2:])}")
-    for depth, mark in enumerate(reversed(marks)):
-        if HIDDEN.search(mark):
-            told.add("hidden")
-        for part in SPLIT.split(mark):
-            told.update(f"kind {kind}" for kind in _KINDS.get(part, ()))
-            if depth == 0:
-                told.update(f"near {kind}" for kind in _KINDS.get(part, ()))
-            if part in ROLES:
-                told.add(f"role {part}")
-    if any(t in ("article", "main") for t in tags):
-        inner = [t for t in tags[max(i for i, t in enumerate(tags) if t in ("article", "main")) :] if t in ("nav", "aside", "footer", "header", "form")]
-        told.add("article, then " + (inner[0] if inner else "none"))
-    return tuple(_id(x) for x in told)
+    told = {f"tag {t}" for t in place.tags}
+    told.add(f"leaf {place.leaf[-1] if place.leaf else ''}")
+    told.add(f"above {' '.join(place.leaf)}")
+    told.update(f"kind {kind}" for part in place.names for kind in _KINDS.get(part, ()))
+    told.update(f"near {kind}" for part in place.near for kind in _KINDS.get(part, ()))
+    told.update(f"role {part}" for part in place.names & ROLES)
+    if place.hidden:
+        told.add("hidden")
+    if place.inner:
+        told.add("article, then " + place.inner)
+    return tuple(sorted(_id(x) for x in told))
 
 
 def _told(block: Block, at: float, first: bool, last: bool) -> list[int]:
@@ -104,7 +99,7 @@ def _told(block: Block, at: float, first: bool, last: bool) -> list[int]:
 
 def page_features(held: list[Block]) -> list[tuple[int, ...]]:
     n = len(held)
-    return [(*_place(b.tags, b.marks), *_told(b, i / n, i == 0, i == n - 1)) for i, b in enumerate(held)]
+    return [(*_place(b.place), *_told(b, i / n, i == 0, i == n - 1)) for i, b in enumerate(held)]
 
 
 class CRF:
@@ -187,7 +182,7 @@ def training_pages(n: int = TRAINED, seed: int = SEED) -> tuple[list[list[tuple[
     pages, labels = [], []
     for i in range(n):
         held, y = [], []
-        for block in blocks(PageMaker(seed + i).page()):
+        for block in blocks(PageMaker(seed + i).page(), KNOWN):
             block.text, label = labelled(block.text)
             if block.text.strip():
                 held.append(block)
@@ -204,7 +199,7 @@ def trained() -> CRF:
 
 def extract(model: CRF, pages: list[str | None]) -> list[str]:
     """The main text of each page."""
-    held = [blocks(p) for p in pages]
+    held = [blocks(p, KNOWN) for p in pages]
     asked = [i for i, b in enumerate(held) if b]
     out = [""] * len(pages)
     if asked:

@@ -18,8 +18,9 @@ key keeps just its earliest line (a partial aggregate, so a key shared by many
 costs no more), each other line of the key is held against that one by its
 words, and goes if the edit distance is at most one.
 
-Sides are broadcast only up to BROADCAST_ROWS rows, counted first; beyond, they
-are joined by a shuffle, with the same result.
+Sides are broadcast only up to BROADCAST_ROWS rows of BROADCAST_CHARS characters
+in all, counted first; beyond, they are joined by a shuffle, with the same
+result.
 
 Defined results: a null text stays null and an empty one empty; documents that
 lose every line stay, with what blank lines they had; a document with a null
@@ -39,7 +40,7 @@ from pyspark.sql import functions as F
 from basewise.llm.common import let, written
 
 MIN_WORDS = 5
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS, BROADCAST_CHARS = 200_000, 20_000_000
 LINE_SPAN, TEXT_SPAN = 1 << 32, 1 << 26
 #: White space within a line, the space first.
 SPACES = " \t\r\x0b\f"
@@ -197,10 +198,11 @@ def _within_one(a: Column, b: Column) -> Column:
     return (F.abs(F.size(a) - F.size(b)) <= 1) & (rest(a, cut_a) == rest(b, cut_b))
 
 
-def _small(df: DataFrame, name: str) -> DataFrame:
+def _small(df: DataFrame, name: str, chars: str = "0L") -> DataFrame:
     """df, written, to be broadcast if it has been counted as small enough."""
     df = written(df, name)
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    rows, held = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.expr(chars)), F.lit(0))).first()
+    return F.broadcast(df) if rows <= BROADCAST_ROWS and held <= BROADCAST_CHARS else df
 
 
 def _near(held: DataFrame) -> DataFrame:
@@ -227,7 +229,7 @@ def _near(held: DataFrame) -> DataFrame:
     pairs = _small(variants.join(groups, variants.key == F.col("of")).select("at", earliest.alias("first")).where("first < at").distinct(), "pairs")
     # The earliest line of a key shares a half, so it is among the lines as well.
     asked = _small(pairs.select("at").union(pairs.select("first")).distinct().withColumnRenamed("at", "of"), "asked")
-    texts = _small(lines.join(asked, F.col("at") == F.col("of"), "left_semi").groupBy("at").agg(F.first("flat").alias("flat")), "texts")
+    texts = _small(lines.join(asked, F.col("at") == F.col("of"), "left_semi").groupBy("at").agg(F.first("flat").alias("flat")), "texts", "length(flat)")
     mine, theirs = texts.select(F.col("at").alias("of"), F.col("flat").alias("u")), texts.select(F.col("at").alias("by"), F.col("flat").alias("v"))
     met = pairs.join(mine, F.col("at") == F.col("of")).join(theirs, F.col("first") == F.col("by"))
     return met.where(_within_one(F.split("u", " "), F.split("v", " "))).select("at").distinct()
@@ -235,7 +237,7 @@ def _near(held: DataFrame) -> DataFrame:
 
 def _without_near(held: DataFrame) -> DataFrame:
     """held, whose lines are distinct, without near-equal later lines."""
-    lost = _small(_near(held).groupBy(_doc("at").alias("of")).agg(F.collect_list(_line("at")).alias("lost")), "lost")
+    lost = _small(_near(held).groupBy(_doc("at").alias("of")).agg(F.collect_list(_line("at")).alias("lost")), "lost", "size(lost)")
     joined = held.join(lost, F.col("doc") == F.col("of"), "left")
     numbers = F.transform(F.split("text", "\n"), lambda x, i: i)
     return joined.select("doc", F.when(F.col("lost").isNull(), F.col("text")).otherwise(_only(F.array_except(numbers, "lost"))).alias("text"), "row")

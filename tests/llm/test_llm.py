@@ -707,6 +707,83 @@ def test_blocks_after_a_head_left_open():
     assert told("<head><noscript><img src=x></noscript><title>T</title></head><body><p>b") == ["b"]
 
 
+HOSTILE = {
+    "unclosed quotes": lambda n: '<a "' * n,
+    "unclosed values": lambda n: '<a b="' * n,
+    "mixed quotes": lambda n: "<a b=\"<i c='" * n,
+    "unclosed values, then an end": lambda n: "<p a='x\">" * n,
+    "deep blocks": lambda n: "<div>a" * n,
+    "deep inline": lambda n: "<b>a<p>" * n,
+    "deep unknown": lambda n: "".join(f"<x{i}>a" for i in range(n)),
+    "deep names": lambda n: "".join(f"<div class='nav c{i}'>a" for i in range(n)),
+    "ends of nothing": lambda n: "<i><b>" * n + "</u></p></i>a" * n,
+    "list items": lambda n: "<ul><li>a<b>" * n + "<li>b" * n,
+    "open comments": lambda n: "<!-- a " * n,
+    "open declarations": lambda n: "<! a " * n,
+    "only signs": lambda n: "< <" * n,
+    "open scripts": lambda n: "<script>a</scrip>" * n,
+    "white space": lambda n: "<a " + "= " * n + ">" + "<p>" + " " * n,
+    "attributes": lambda n: "<a " + "class class= " * n + ">x",
+    "references": lambda n: "&" * n + "&#" * n + "&amp" * n,
+}
+
+
+@pytest.mark.parametrize("how", HOSTILE)
+def test_pages_of_a_megabyte_take_seconds(crf, how):
+    n = 1_000_000 // len(HOSTILE[how](1))
+    began = time.time()
+    html_extraction.extract(crf, [HOSTILE[how](n)])
+    assert time.time() - began < 20
+
+
+def test_blocks_of_unfinished_markup():
+    told = lambda page: [b.text for b in blocks(page)]
+    assert told("<p title='a > b'>x<p data-x=\"1>2\">y") == ["x", "y"]
+    assert told("<p a='never closed>x</p><p>y</p>") == ["x", "y"]
+    assert told("<p>3 < 4 and a<b>c</b> <3") == ["3 < 4 and ac <3"]
+    assert told("<p>x<p class=") == ["x"]
+    assert told("<p>a<select><option>b<p>c</p>") == ["a", "c"]
+    assert told("<p>a<iframe><p>b</iframe>c<!-->d<!--->e") == ["a", "cde"]
+
+
+#: Pages written by hand, with their main text.
+HAND_MADE = [
+    (
+        """<html><head><title>T</title></head><body><div id="wrap"><div id="hd"><a href="/">My blog</a></div><div id="menu"><a href="/a">Archive</a> <a href="/b">About me</a></div>
+        <div class="post"><h2>On baking bread</h2><div class="entry"><p>I started to bake bread last winter, when the shops were closed.</p><p>The first loaf was flat. The second one was better.</p></div></div>
+        <div id="sidebar"><h3>Blogroll</h3><ul><li><a href="x">A friend</a></li><li><a href="y">Another friend</a></li></ul></div><div id="footer">Powered by nothing. &copy; 2009</div></div></body></html>""",
+        "On baking bread I started to bake bread last winter, when the shops were closed. The first loaf was flat. The second one was better.",
+    ),
+    (
+        """<!doctype html><body><header><nav><a href=/>News</a><a href=/w>World</a></nav></header><main><article><header><h1>River rises again</h1></header>
+        <p>The river rose by two metres on Monday, officials said.</p><aside class="related"><a href=/r>Read more: last year's flood</a></aside><p>Schools will stay closed until Thursday.</p></article></main>
+        <div class="newsletter"><form><p>Get our newsletter every morning</p><input type=email><button>Sign up</button></form></div><footer><p>All rights reserved.</p></footer></body>""",
+        "River rises again The river rose by two metres on Monday, officials said. Schools will stay closed until Thursday.",
+    ),
+    (
+        """<table class="layout"><tr><td colspan=2><a href="index.html">Home</a> | <a href="links.html">Links</a></td></tr><tr><td class="menu"><a href="1.html">One</a><br><a href="2.html">Two</a></td>
+        <td class="content"><h1>The history of the mill</h1>The mill was built in 1820 by two brothers, who came from the north.<br><br>It burned down in 1902 and was never built again.</td></tr></table><p class="copyright">Copyright 1999</p>""",
+        "The history of the mill The mill was built in 1820 by two brothers, who came from the north. It burned down in 1902 and was never built again.",
+    ),
+    (
+        """<body><div class="cookie-consent"><p>We value your privacy and use cookies.</p><button>Accept all</button></div><div class="main-content"><h1>How to tie a bowline</h1><ol><li>Make a small loop in the rope.</li><li>Bring the end up through the loop.</li><li>Take it round behind the rope and down again.</li></ol>
+        <pre>end over loop, then under</pre></div><section class="comments"><h3>2 comments</h3><div class="comment"><b>Ann</b><p>This helped me a lot, thank you for writing it up so clearly.</p></div></section></body>""",
+        "How to tie a bowline Make a small loop in the rope. Bring the end up through the loop. Take it round behind the rope and down again. end over loop, then under",
+    ),
+    (
+        """<body><ul class="breadcrumb"><li><a href=/>Home</a><li><a href=/d>Docs</a></ul><article><h1>Install</h1><p>Run the <code>install</code> command, then <a href=/s>start the server</a>.</p><blockquote>Do this only once.</blockquote><table><tr><th>Port<td>80<tr><th>Host<td>all</table></article>
+        <div class="share-bar"><a href=#>Tweet</a> <a href=#>Print</a></div><div class="ads"><p>Cheap hosting from five a month!</p></div></body>""",
+        "Install Run the install command, then start the server. Do this only once. Port 80 Host all",
+    ),
+    ("""<body><nav><ul><li><a href=/a>A</a></li><li><a href=/b>B</a></li></ul></nav><form class="login"><label>Name</label><input><label>Password</label><input><button>Log in</button></form><footer>&copy; us</footer></body>""", ""),
+]
+
+
+def test_extraction_of_pages_made_by_hand(crf):
+    got = html_extraction.extract(crf, [page for page, _ in HAND_MADE])
+    assert got == [want for _, want in HAND_MADE]
+
+
 def test_extraction_keeps_formulas_and_fallback_text(crf):
     held = "<p>The area is <math><mi>a</mi><mo>=</mo><mi>bc</mi></math> for a plain rectangle of these sides.</p><noscript><p>The chart shows how the area grows with both of the sides.</p></noscript><object data=x><p>The drawing shows a rectangle of these sides.</p></object><svg><text>side b</text><path d=x /></svg><p>The next paragraph of the story ends the article here.</p>"
     page = PAGE.replace("<p>Short.</p>", held)
