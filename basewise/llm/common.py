@@ -6,7 +6,6 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,13 +45,12 @@ def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def counted(df: DataFrame) -> tuple[DataFrame, int]:
-    """df, kept on the executors' disks, and its count.
-
-    A lost executor's part is worked out again from df's lineage.
-    """
-    df = df.persist(StorageLevel.DISK_ONLY)
-    return df, df.count()
+def small(df: DataFrame, name: str, rows: int, chars: int = 1 << 24, width: str = "0L") -> DataFrame:
+    """df, written, to be broadcast if it has been counted as small enough: at
+    most so many rows, and so much in all of width, an expression of a row."""
+    df = written(df, name)
+    n, held = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.expr(width)), F.lit(0))).first()
+    return F.broadcast(df) if n <= rows and held <= chars else df
 
 
 def let(value: Column, of: Callable[[Column], Column]) -> Column:
@@ -63,6 +61,17 @@ def let(value: Column, of: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), of), F.lit(0))
 
 
+def running(values: Column, of: Callable[[Column, Column], Column]) -> Column:
+    """of, taken over all values up to each, by doubling the reach: an array of n
+    costs n times the logarithm of n."""
+    steps = F.transform(F.sequence(F.lit(0), F.floor(F.log2(F.greatest(F.size(values), F.lit(1)))).cast("int")), lambda k: F.call_function("shiftleft", F.lit(1), k))
+
+    def wider(a: Column, step: Column) -> Column:
+        return F.transform(a, lambda x, i: F.when(i >= step, of(x, F.get(a, i - step))).otherwise(x))
+
+    return F.aggregate(steps, values, wider)
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of undirected edges (a, b) -> (node, root).
 

@@ -1,50 +1,64 @@
 """Benchmark decontamination by SimHash windows (operator 3, native).
 
 Words are runs of letters, marks and digits in lower case.  A window is an
-item's count of words in a document.  Windows are taken wherever a shingle of
-the document lines up with one of an item.  Similarity ignores the shingles'
-order, so a passage whose parts stand in another order lines up by parts only:
-windows are also taken at the shared shingles wherever enough of them lie
-within an item's size, which finds every pair that any window gives.  Each
-window and item has a 64-bit SimHash of its shingles,
-repeats included.  A multi-index over eight blocks of eight bits, items entered
-with every block changed by up to one bit, finds every item of the window's
-size whose fingerprint is within RADIUS = 15 bits: of 15 differing bits, some
-block holds at most one.  The pairs are then held to the exact weighted Jaccard
-similarity of their shingles (the sum of the lesser counts over the sum of the
-greater), 0.8 or more.  A pair's similarity is the greatest of the windows that
-line up, or of the others where none of those reaches 0.8.
+item's count of words in a document; it may stick out at either end, and then
+holds what there is.  Each window and item has a 64-bit SimHash of its shingles
+of five words, repeats included.  A multi-index over eight blocks of eight bits,
+items entered with every block changed by up to two bits, finds every item of
+the window's size whose fingerprint is within RADIUS = 23 bits: of 23 differing
+bits, some block holds at most two.  The pairs are then held to the exact
+weighted Jaccard similarity of their shingles (the sum of the lesser counts over
+the sum of the greater), 0.8 or more.  A pair's similarity is the greatest of
+all its windows.
+
+Not every window is fingerprinted, but none that could count is left out.  A
+window needs so many shingles that items of its size hold; moved right to the
+first of them (or, where it sticks out in front, left to end with the last) it
+keeps them all and gets no longer.  So the windows at such shingles, if enough
+of them lie in an item's size, give the greatest similarity of all.
 
 The items' shingles are broadcast up to BROADCAST_ROWS rows, counted first;
-beyond, they meet the documents' by a shuffle, with the same result.
+beyond, they meet the documents' by a shuffle in which each shingle is dealt
+over SALTS tasks, with the same result.
 
 Defined results: documents and items that are null or have under five words
-match nothing; a window that sticks out of its document holds what there is;
-repeated rows of a document or an item count once; rows of a null doc_id are
-reported under null; ties keep the greatest similarity; empty tables give an
-empty result; extra columns are ignored.
+match nothing; repeated rows of a document or an item count once; rows that
+share a doc_id count together, those of a null doc_id under null; ties keep the
+greatest similarity; empty tables give an empty result; extra columns are
+ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basewise.llm.common import counted, let
+from basewise.llm.common import let, running, small
 
-WORDS, SIMILARITY, RADIUS = 5, 0.8, 15
+WORDS, SIMILARITY, RADIUS = 5, 0.8, 23
 BLOCKS, BLOCK_BITS = 8, 8
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 200_000
+#: Tasks that a shingle is dealt over where the items' are too many to broadcast.
+SALTS = 8
 
 
 def words_of(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{M}\p{N}]+"), lambda w: w != "")
 
 
-def _shingles(w: Column, of: object) -> Column:
-    """of(five words) at each place; none under five words."""
-    places = F.sequence(F.lit(1), F.size(w) - (WORDS - 1))
-    return F.when(F.size(w) >= WORDS, F.transform(places, lambda i: of(F.slice(w, i, WORDS))))
+def _shingles(w: Column, of: Callable[..., Column]) -> Column:
+    """of(five words) at each place; none under five words.
+
+    Words are taken one by one: a slice would cost the whole array's length.
+    """
+
+    def at(words: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(words) - WORDS)
+        return F.when(F.size(words) >= WORDS, F.transform(places, lambda i: of(*(F.get(words, i + k) for k in range(WORDS)))))
+
+    return let(w, at)
 
 
 def _hashes(w: Column) -> Column:
@@ -55,9 +69,12 @@ def _bag(w: Column) -> Column:
     """Shingles, each with the count of its like before it: a multiset as a set."""
 
     def counted(ordered: Column) -> Column:
-        return F.transform(ordered, lambda x, i: F.struct(x.alias("s"), (i - F.array_position(ordered, x)).alias("n")))
+        # The last place up to each where a new shingle begins.
+        new = F.transform(ordered, lambda x, i: F.when((i == 0) | (x != F.get(ordered, F.greatest(i - 1, F.lit(0)))), i).otherwise(F.lit(0)))
+        begun = let(new, lambda a: running(a, F.greatest))
+        return let(begun, lambda at: F.transform(ordered, lambda x, i: F.concat_ws(" ", x, (i - F.get(at, i)).cast("string"))))
 
-    return let(F.sort_array(_shingles(w, lambda x: F.array_join(x, " "))), counted)
+    return let(F.sort_array(_shingles(w, lambda *x: F.concat_ws(" ", *x))), counted)
 
 
 def simhash(hashes: Column) -> Column:
@@ -72,12 +89,14 @@ def simhash(hashes: Column) -> Column:
         bits = F.transform(F.sequence(F.lit(0), F.lit(63)), bit)
         return F.aggregate(bits, none, lambda n, x: n.bitwiseOR(x))
 
-    return let(hashes, fingerprint)
+    # Never null, or filters inferred from it would work it out once more.
+    return F.coalesce(let(hashes, fingerprint), none)
 
 
 def _blocks(fp: Column, flips: bool) -> Column:
-    """The multi-index keys of a fingerprint: (block, its bits, maybe changed)."""
-    masks = [0, *(1 << b for b in range(BLOCK_BITS))] if flips else [0]
+    """The multi-index keys of a fingerprint: (block, its bits, maybe up to two changed)."""
+    one = [1 << b for b in range(BLOCK_BITS)]
+    masks = sorted({a ^ b for a in (0, *one) for b in (0, *one)}) if flips else [0]
     return F.array(
         *(
             F.struct(F.lit(i).alias("i"), F.shiftrightunsigned(fp, i * BLOCK_BITS).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)).bitwiseXOR(F.lit(m)).alias("b"))
@@ -88,62 +107,83 @@ def _blocks(fp: Column, flips: bool) -> Column:
 
 
 def _starts(hits: DataFrame) -> DataFrame:
-    """(doc_id, k, size, starts): where a document's windows of a size start.
+    """(k, g, size, starts): where a document's windows of a size start.
 
-    hits are the document's shingles that items of the size hold: (doc_id, k,
-    words, size, pos, at).  Besides the starts that line up, a window is taken
+    hits are the document's shingles that items of the size hold: (k, g, words,
+    size, pos, at), at null if not the same in all of them.  A window is taken
     at each hit, and before the first word up to each hit, if so many hits lie
-    in it as SIMILARITY asks for: moved there, any other window keeps its hits
-    and gets no longer.  If all hits line up at one start, its window holds all
-    that a whole window can.
+    in it as SIMILARITY asks for.  If all hits line up at one start, its window
+    holds all that a whole window can, and is the only whole one needed.
     """
-    held = hits.groupBy("doc_id", "k", "words", "size").agg(
-        F.array_sort(F.collect_set("pos")).alias("p"), F.collect_set(F.col("pos") - F.col("at")).alias("lined")
+    lined = F.col("pos") - F.col("at")
+    held = hits.groupBy("k", "g", "words", "size").agg(
+        F.array_sort(F.collect_list("pos")).alias("p"), F.when((F.count("at") == F.count("pos")) & (F.min(lined) == F.max(lined)), F.min(lined)).alias("one")
     )
     size, own = F.col("size"), F.col("size") - (WORDS - 1)
     need = F.greatest(F.ceil(own * SIMILARITY - 1e-9).cast("int"), F.lit(1))
     # The hit by which the window that starts at the i-th has as many as needed.
-    right = F.transform("p", lambda p, i: F.when((F.get("p", i + need - 1) < p + own) & ((F.size("lined") > 1) | (p + size > F.col("words"))), p))
+    right = F.transform("p", lambda p, i: F.when((F.get("p", i + need - 1) < p + own) & (F.col("one").isNull() | (p + size > F.col("words"))), p))
     left = F.transform("p", lambda p, i: F.when((i + 1 >= need) & (p + WORDS < size), p + WORDS - size))
-    others = F.array_except(F.filter(F.concat(right, left), lambda s: s.isNotNull()), "lined")
-    mark = lambda starts, lined: F.transform(starts, lambda s: F.struct(s.alias("start"), F.lit(lined).alias("lined")))
-    return held.select("doc_id", "k", "size", F.concat(mark(F.col("lined"), True), mark(others, False)).alias("starts"))
-
-
-def _windows(docs: DataFrame, grams: DataFrame, broadcast_rows: int) -> DataFrame:
-    """(doc_id, size, lined, w): windows that can reach the similarity."""
-    # Texts of under five words have no shingle; a filter would split them twice.
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("k", F.xxhash64("text"))
-    held = texts.select("doc_id", "k", words_of(F.col("text")).alias("w"))
-    placed = held.select("doc_id", "k", F.size("w").alias("words"), F.posexplode(_hashes(F.col("w"))).alias("pos", "h"))
-    small = lambda df, rows: F.broadcast(df) if rows <= broadcast_rows else df
-    hits = placed.join(small(grams, grams.count()), "h")
-    starts = small(*counted(_starts(hits).withColumnsRenamed({"doc_id": "__id", "k": "__k"})))
+    starts = F.array_distinct(F.array_compact(F.concat(F.array("one"), right, left)))
+    return held.where(F.size("p") >= need).select("k", "g", "size", starts.alias("starts")).where(F.size("starts") > 0)
+
+
+def _windows(texts: DataFrame, grams: DataFrame, broadcast_rows: int) -> DataFrame:
+    """(k, g, size, w): windows that can reach the similarity."""
+    # Texts of under five words have a null shingle, which joins nothing: a filter
+    # (explode brings its own) would split and hash every text twice.
+    held = texts.select("k", "g", words_of(F.col("text")).alias("w"))
+    placed = held.select("k", "g", F.size("w").alias("words"), F.posexplode_outer(_hashes(F.col("w"))).alias("pos", "h"))
+    # Of repeated texts one is enough.
+    placed = placed.withColumnsRenamed({"k": "dk", "g": "dg"})
+    if grams.count() <= broadcast_rows:
+        hits = placed.join(F.broadcast(grams), "h")
+    else:
+        dealt = grams.withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
+        hits = placed.withColumn("salt", F.pmod("pos", F.lit(SALTS))).join(dealt, ["h", "salt"]).drop("salt")
+    hits = hits.select(F.col("dk").alias("k"), F.col("dg").alias("g"), "words", "size", "pos", "at").distinct()
+    starts = small(_starts(hits).withColumnsRenamed({"k": "of", "g": "by"}), "starts", broadcast_rows, width="size(starts)")
     # Only documents with a window are split into words again.
-    same = F.col("k").eqNullSafe(F.col("__k")) & F.col("doc_id").eqNullSafe(F.col("__id"))
-    met = texts.join(starts, same).select("doc_id", "size", "starts", words_of(F.col("text")).alias("w"))
-    told = met.select("doc_id", "size", "w", F.explode("starts").alias("s")).select("doc_id", "size", "w", "s.start", "s.lined")
-    # A window starts at the document's first word at the earliest.
-    window = F.slice("w", F.greatest(F.col("start"), F.lit(0)) + 1, F.col("size") + F.least(F.col("start"), F.lit(0)))
-    return told.select("doc_id", "size", "lined", window.alias("w")).distinct()
+    met = texts.join(starts, (F.col("k") == F.col("of")) & (F.col("g") == F.col("by")))
+    # A window starts at the document's first word at the earliest.  Cut before
+    # they are told apart, so that no row repeats the whole document.
+    size = F.col("size")
+    cut = let(words_of(F.col("text")), lambda w: F.transform("starts", lambda s: F.transform(F.sequence(F.greatest(s, F.lit(0)), F.least(s + size, F.size(w)) - 1), lambda i: F.get(w, i))))
+    return met.select("k", "g", "size", F.explode_outer(cut).alias("w")).distinct()
 
 
-def contaminated(docs: DataFrame, items: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """(doc_id, text) x (item_id, text) -> (doc_id, item_id, similarity)."""
+def _texts(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, k, g): k and g are a text's two hashes, its key."""
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("k"), F.crc32(text.cast("binary")).alias("g"))
+
+
+def _found(texts: DataFrame, items: DataFrame, broadcast_rows: int) -> DataFrame:
+    """(k, g, item_id, similarity): items that texts hold."""
     held = items.select(F.col("item_id").cast("long").alias("item_id"), words_of(F.col("text").cast("string")).alias("w")).where(F.size("w") >= WORDS).distinct()
-    grams = held.select(F.size("w").alias("size"), F.posexplode(_hashes(F.col("w"))).alias("at", "h")).distinct()
-    windows = _windows(docs, grams, broadcast_rows).where(F.size("w") >= WORDS).withColumn("fp", simhash(_hashes(F.col("w"))))
-    known = held.select("item_id", F.size("w").alias("size"), simhash(_hashes(F.col("w"))).alias("ifp"), F.col("w").alias("iw"))
-    entered = known.select("item_id", "size", "ifp", "iw", F.explode(_blocks(F.col("ifp"), True)).alias("e"))
-    asked = windows.select("doc_id", "size", "lined", "fp", "w", F.explode(_blocks(F.col("fp"), False)).alias("e"))
+    grams = held.select(F.size("w").alias("size"), F.posexplode(_hashes(F.col("w"))).alias("at", "h"))
+    grams = grams.groupBy("size", "h").agg(F.when(F.min("at") == F.max("at"), F.min("at")).alias("at"))
+    windows = _windows(texts, grams, broadcast_rows).where(F.size("w") >= WORDS).withColumn("fp", simhash(_hashes(F.col("w"))))
+    known = held.select("item_id", F.size("w").alias("size"), F.xxhash64("w").alias("ik"), simhash(_hashes(F.col("w"))).alias("ifp"), F.col("w").alias("iw"))
+    entered = small(known.select("item_id", "size", "ik", "ifp", F.explode_outer(_blocks(F.col("ifp"), True)).alias("e")), "entered", broadcast_rows)
+    asked = windows.select("k", "g", "size", "fp", "w", F.explode_outer(_blocks(F.col("fp"), False)).alias("e"))
     pairs = asked.join(entered, ["size", "e"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= RADIUS)
     # A pair that several blocks find, and windows of the same words, count once.
-    pairs = pairs.select("doc_id", "item_id", "lined", "w", "iw").distinct()
-    seen = pairs.select("doc_id", "item_id", "lined", _bag(F.col("w")).alias("bag"), _bag(F.col("iw")).alias("ibag"))
-    both = F.size(F.array_intersect("bag", "ibag"))
-    scored = seen.select("doc_id", "item_id", "lined", (both / (F.size("bag") + F.size("ibag") - both)).alias("similarity"))
-    best = F.coalesce(F.max(F.when(F.col("lined"), F.col("similarity"))), F.max("similarity"))
-    return scored.where(F.col("similarity") >= SIMILARITY).groupBy("doc_id", "item_id").agg(best.alias("similarity"))
+    pairs = pairs.select("k", "g", "item_id", "ik", "w").distinct()
+    bags = small(known.select(F.col("ik").alias("of"), _bag(F.col("iw")).alias("ibag")).distinct(), "items", broadcast_rows, width="size(ibag)")
+    seen = pairs.join(bags, F.col("ik") == F.col("of")).select("k", "g", "item_id", _bag(F.col("w")).alias("bag"), "ibag")
+    both = seen.select("k", "g", "item_id", F.size(F.array_intersect("bag", "ibag")).alias("both"), (F.size("bag") + F.size("ibag")).alias("all"))
+    scored = both.select("k", "g", "item_id", (F.col("both") / (F.col("all") - F.col("both"))).alias("similarity"))
+    return scored.where(F.col("similarity") >= SIMILARITY).groupBy("k", "g", "item_id").agg(F.max("similarity").alias("similarity"))
+
+
+def contaminated(docs: DataFrame, items: DataFrame, broadcast_rows: int | None = None) -> DataFrame:
+    """(doc_id, text) x (item_id, text) -> (doc_id, item_id, similarity)."""
+    texts = _texts(docs)
+    rows = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
+    found = small(_found(texts, items, rows).withColumnsRenamed({"k": "of", "g": "by"}), "found", rows)
+    named = texts.select("doc_id", "k", "g").join(found, (F.col("k") == F.col("of")) & (F.col("g") == F.col("by")))
+    return named.groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity"))
 
 
 def op3_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -151,7 +191,12 @@ def op3_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     return contaminated(docs, items)
 
 
-def without_benchmark(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Documents that hold no benchmark item; all columns stay."""
-    lost = contaminated(docs, items).select(F.col("doc_id").alias("__lost")).distinct()
-    return docs.join(lost, docs["doc_id"] == lost["__lost"], "left_anti")
+def without_benchmark(docs: DataFrame, items: DataFrame, broadcast_rows: int | None = None) -> DataFrame:
+    """Rows whose text holds no benchmark item; all columns stay.
+
+    Each row is judged by its own text, whatever rows share its doc_id.
+    """
+    rows = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
+    lost = small(_found(_texts(docs), items, rows).select(F.col("k"), F.col("g")).distinct(), "lost", rows)
+    text = docs["text"].cast("string")
+    return docs.join(lost, (F.xxhash64(text) == lost["k"]) & (F.crc32(text.cast("binary")) == lost["g"]), "left_anti")

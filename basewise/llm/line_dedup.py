@@ -37,7 +37,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basewise.llm.common import let, written
+from basewise.llm.common import let, running, small, written
 
 MIN_WORDS = 5
 BROADCAST_ROWS, BROADCAST_CHARS = 200_000, 20_000_000
@@ -99,7 +99,8 @@ def _blank(raw: Column) -> Column:
 
 def _lines(held: DataFrame) -> DataFrame:
     """(doc, line, flat) of all lines that are not blank."""
-    rows = held.where(F.col("doc").isNotNull()).select("doc", F.posexplode(F.split(_flat(F.col("text")), "\n")).alias("line", "raw"))
+    # explode would infer a filter, and so do the work within it twice.
+    rows = held.where(F.col("doc").isNotNull()).select("doc", F.posexplode_outer(F.split(_flat(F.col("text")), "\n")).alias("line", "raw"))
     return rows.select("doc", "line", F.trim("raw").alias("flat")).where("flat <> ''")
 
 
@@ -140,16 +141,6 @@ def _halves() -> Column:
     return F.when(F.col("n") % 2 == 1, F.array(*told(EITHER, half))).otherwise(F.array(*told(EQUAL, half), *told(LONGER, half - 1)))
 
 
-def _running(values: Column) -> Column:
-    """The exclusive-or of all values up to each, by doubling the reach."""
-    steps = F.transform(F.sequence(F.lit(0), F.floor(F.log2(F.greatest(F.size(values), F.lit(1)))).cast("int")), lambda k: F.call_function("shiftleft", F.lit(1), k))
-
-    def wider(a: Column, step: Column) -> Column:
-        return F.transform(a, lambda x, i: F.when(i >= step, x.bitwiseXOR(F.get(a, i - step))).otherwise(x))
-
-    return F.aggregate(steps, values, wider)
-
-
 def _variants(words: Column, half: Column, longer: Column, side: Column) -> Column:
     """Variant keys of a line, one side of which is shared.
 
@@ -175,7 +166,7 @@ def _variants(words: Column, half: Column, longer: Column, side: Column) -> Colu
 
         def shorter(a: Column) -> Column:
             # Those before the word in their places, those behind it lower.
-            both = let(F.zip_with(a, lower, lambda x, y: x.bitwiseXOR(y)), _running)
+            both = let(F.zip_with(a, lower, lambda x, y: x.bitwiseXOR(y)), lambda both: running(both, lambda x, y: x.bitwiseXOR(y)))
             behind = let(total(lower), lambda t: F.zip_with(both, a, lambda run, x: t.bitwiseXOR(run).bitwiseXOR(x)))
             return F.transform(behind, lambda v: F.struct(key(1, v), F.lit(DELETED).alias("role")))
 
@@ -198,11 +189,8 @@ def _within_one(a: Column, b: Column) -> Column:
     return (F.abs(F.size(a) - F.size(b)) <= 1) & (rest(a, cut_a) == rest(b, cut_b))
 
 
-def _small(df: DataFrame, name: str, chars: str = "0L") -> DataFrame:
-    """df, written, to be broadcast if it has been counted as small enough."""
-    df = written(df, name)
-    rows, held = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.expr(chars)), F.lit(0))).first()
-    return F.broadcast(df) if rows <= BROADCAST_ROWS and held <= BROADCAST_CHARS else df
+def _small(df: DataFrame, name: str, width: str = "0L") -> DataFrame:
+    return small(df, name, BROADCAST_ROWS, BROADCAST_CHARS, width)
 
 
 def _near(held: DataFrame) -> DataFrame:
@@ -212,12 +200,12 @@ def _near(held: DataFrame) -> DataFrame:
     """
     n = (F.length("flat") - F.length(F.replace(F.col("flat"), F.lit(" "), F.lit(""))) + 1).alias("n")
     rows = _lines(held).select(_at().alias("at"), "flat", n).where(F.col("n") >= MIN_WORDS)
-    halves = rows.select("at", "flat", F.explode(_halves()).alias("h"))
+    halves = rows.select("at", "flat", F.explode_outer(_halves()).alias("h"))
     # A line's own halves differ, so rows of a half are distinct lines.
     shared = _small(halves.groupBy("h.half").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select(F.col("half").alias("with")), "halves")
     lines = written(halves.join(shared, F.col("h.half") == F.col("with"), "left_semi").select("at", "flat", "h.half", "h.longer", "h.side"), "neighbours")
     words = F.split("flat", " ")
-    variants = lines.select("at", F.explode(let(words, lambda w: _variants(w, F.col("half"), F.col("longer"), F.col("side")))).alias("v"))
+    variants = lines.select("at", F.explode_outer(let(words, lambda w: _variants(w, F.col("half"), F.col("longer"), F.col("side")))).alias("v"))
     variants = variants.select("at", F.col("v.key").alias("key"), F.col("v.role").alias("role"))
 
     def least(*roles: int) -> Column:

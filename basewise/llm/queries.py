@@ -94,36 +94,34 @@ r AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
 
-#: Every window that lines up with an item's shingle, held to every item of its
-#: size by weighted Jaccard similarity, without fingerprints.
+#: Every window of an item's size in every document that shares enough shingles
+#: with the item at all, by weighted Jaccard similarity, without fingerprints.
 _OP3 = r"""
 WITH d AS (
-  SELECT DISTINCT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{M}\p{N}]+'), lambda w: w <> '') AS w FROM documents WHERE text IS NOT NULL),
+  SELECT *, row_number() OVER () AS r FROM (
+    SELECT DISTINCT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{M}\p{N}]+'), lambda w: w <> '') AS w FROM documents WHERE text IS NOT NULL)),
 b AS (
   SELECT DISTINCT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{M}\p{N}]+'), lambda w: w <> '') AS w FROM benchmark WHERE text IS NOT NULL),
-g AS (
-  SELECT item_id, len(w) AS size, u.i AS j, array_to_string(w[u.i : u.i + 4], ' ') AS s
-  FROM b, unnest(range(1, len(w) - 3)) u(i) WHERE len(w) >= 5),
-p AS (
-  SELECT doc_id, w, u.i AS pos, array_to_string(w[u.i : u.i + 4], ' ') AS s
-  FROM d, unnest(range(1, len(w) - 3)) u(i) WHERE len(w) >= 5),
+gs AS (
+  SELECT item_id, w AS iw, array_to_string(w[u.i : u.i + 4], ' ') AS s, count(*) AS n
+  FROM b, unnest(range(1, len(w) - 3)) u(i) WHERE len(w) >= 5 GROUP BY ALL),
+gn AS (SELECT item_id, iw, CAST(sum(n) AS BIGINT) AS n FROM gs GROUP BY ALL),
+ds AS (
+  SELECT r, array_to_string(w[u.i : u.i + 4], ' ') AS s, count(*) AS n
+  FROM d, unnest(range(1, len(w) - 3)) u(i) WHERE len(w) >= 5 GROUP BY ALL),
+pr AS (
+  SELECT r, gs.item_id, gs.iw, gn.n FROM ds JOIN gs USING (s) JOIN gn ON gn.item_id = gs.item_id AND gn.iw = gs.iw
+  GROUP BY r, gs.item_id, gs.iw, gn.n HAVING sum(least(ds.n, gs.n)) >= 0.8 * gn.n),
 win AS (
-  SELECT DISTINCT doc_id, pos - j AS begin, size, w[greatest(pos - j, 0) + 1 : pos - j + size] AS w
-  FROM p JOIN (SELECT DISTINCT size, j, s FROM g) USING (s)),
+  SELECT pr.r, doc_id, item_id, iw, n, u.i AS begin, w[greatest(u.i, 0) + 1 : u.i + len(iw)] AS w
+  FROM pr JOIN d USING (r), unnest(range(5 - len(iw), len(w) - 4)) u(i)),
 ws AS (
-  SELECT doc_id, begin, size, array_to_string(w[u.i : u.i + 4], ' ') AS s, count(*) AS n
+  SELECT r, doc_id, item_id, iw, win.n AS own, begin, len(w) - 4 AS size, array_to_string(w[u.i : u.i + 4], ' ') AS s, count(*) AS n
   FROM win, unnest(range(1, len(w) - 3)) u(i) GROUP BY ALL),
-gs AS (SELECT item_id, size, s, count(*) AS n FROM g GROUP BY ALL),
-wn AS (SELECT doc_id, begin, size, sum(n) AS n FROM ws GROUP BY ALL),
-gn AS (SELECT item_id, sum(n) AS n FROM gs GROUP BY ALL),
 met AS (
-  SELECT ws.doc_id, ws.begin, ws.size, gs.item_id, sum(least(ws.n, gs.n)) AS common
-  FROM ws JOIN gs ON ws.s = gs.s AND ws.size = gs.size GROUP BY ALL)
-SELECT met.doc_id, met.item_id, max(CAST(common AS DOUBLE) / CAST(wn.n + gn.n - common AS DOUBLE)) AS similarity
-FROM met JOIN wn ON met.doc_id IS NOT DISTINCT FROM wn.doc_id AND met.begin = wn.begin AND met.size = wn.size
-  JOIN gn ON met.item_id = gn.item_id
-WHERE CAST(common AS DOUBLE) / CAST(wn.n + gn.n - common AS DOUBLE) >= 0.8
-GROUP BY met.doc_id, met.item_id
+  SELECT ws.doc_id, ws.item_id, CAST(sum(least(ws.n, gs.n)) AS DOUBLE) AS common, any_value(own + size) AS total
+  FROM ws JOIN gs ON ws.s = gs.s AND ws.item_id = gs.item_id AND ws.iw = gs.iw GROUP BY ws.r, ws.doc_id, ws.item_id, ws.iw, ws.begin)
+SELECT doc_id, item_id, max(common / (total - common)) AS similarity FROM met WHERE common / (total - common) >= 0.8 GROUP BY doc_id, item_id
 """
 
 #: Lines against all earlier lines that share their first or last word: one

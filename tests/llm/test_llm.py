@@ -278,21 +278,17 @@ def test_line_dedup_of_long_lines(spark):
 # --- 3
 
 
-def plain_leaks(docs, items, aligned):
-    """Similarities by every window of an item's size, or by those that line up
-    with a shingle of an item of that size."""
+def plain_leaks(docs, items):
+    """Similarities by every window of an item's size."""
     words = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
     grams = lambda w: Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
     out = {}
     held = {i: words(t) for i, t in items if len(words(t)) >= 5}
-    five = lambda w: [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
     for d, text in docs:
         w = words(text)
         for i, item in held.items():
             want = grams(item)
-            told = [v for v in held.values() if len(v) == len(item)]
-            lined = {p - j for v in told for j, x in enumerate(five(v)) for p, y in enumerate(five(w)) if x == y}
-            for start in sorted(lined) if aligned else range(-len(item) + 5, len(w) - 4):
+            for start in range(-len(item) + 5, len(w) - 4):
                 got = grams(w[max(start, 0) : start + len(item)])
                 both = sum((got & want).values())
                 if both and both / sum((got | want).values()) >= 0.8:
@@ -311,8 +307,7 @@ def test_decontamination(spark, rows):
     docs.append((27, " ".join(["front", *cut[3:]])))
     got = decontamination.contaminated(documents(spark, docs), spark.createDataFrame(items, "item_id long, text string"), rows)
     told = {(r.doc_id, r.item_id): round(r.similarity, 9) for r in got.collect()}
-    assert told == {k: round(v, 9) for k, v in plain_leaks(docs, items, True).items()}
-    assert set(told) == set(plain_leaks(docs, items, False))
+    assert told == {k: round(v, 9) for k, v in plain_leaks(docs, items).items()}
 
 
 @pytest.mark.parametrize("rows", [0, 1000])
@@ -328,10 +323,49 @@ def test_decontamination_of_reordered_passages(spark, rows):
     docs += [(400, " ".join(item[:25] + [word() for _ in range(30)] + item[25:])), (401, " ".join(word() for _ in range(90)))]
     items = [(1, " ".join(item)), (2, " ".join(word() for _ in range(50)))]
     got = decontamination.contaminated(documents(spark, docs), spark.createDataFrame(items, "item_id long, text string"), rows)
-    want, lined = (plain_leaks(docs, items, x) for x in (False, True))
     told = {(r.doc_id, r.item_id): round(r.similarity, 9) for r in got.collect()}
-    assert told == {k: round(lined.get(k, v), 9) for k, v in want.items()}
-    assert {(25, 1), (125, 1)} <= set(told) - set(lined)
+    assert told == {k: round(v, 9) for k, v in plain_leaks(docs, items).items()}
+    assert {(25, 1), (125, 1)} <= set(told)
+
+
+@pytest.mark.parametrize("rows", [0, 1000])
+def test_decontamination_recall_near_the_threshold(spark, rows):
+    """Passages with words replaced, deleted, added and repeated, against all
+    windows: no pair of 0.8 or more is missed."""
+    rng = random.Random(17)
+    items = [(i, prose(rng, rng.randint(30, 70)) + " " + " ".join("abcdefgh"[i % 8] * 3 for _ in range(i % 3))) for i in range(12)]
+    docs = []
+    for n in range(400):
+        w = items[n % 12][1].split()
+        for _ in range(n % 3 + 1):
+            at = rng.randrange(len(w))
+            rng.choice([lambda: w.__setitem__(at, "other"), lambda: w.pop(at), lambda: w.insert(at, "more"), lambda: w.insert(at, w[at])])()
+        docs.append((n, prose(rng, rng.randint(0, 30)) + " " + " ".join(w) + " " + prose(rng, rng.randint(0, 30))))
+    want = plain_leaks(docs, items)
+    got = decontamination.contaminated(documents(spark, docs), spark.createDataFrame(items, "item_id long, text string"), rows)
+    assert {(r.doc_id, r.item_id): round(r.similarity, 9) for r in got.collect()} == {k: round(v, 9) for k, v in want.items()}
+    assert sum(0.8 <= v < 0.9 for v in want.values()) >= 20
+
+
+def test_decontamination_of_repeated_words(spark):
+    items = spark.createDataFrame([(1, "word " * 200), (2, "a b " * 100)], "item_id long, text string")
+    docs = documents(spark, [(1, "word " * 400), (2, "word " * 5000), (3, "b a " * 3000), (4, "word a b " * 200)])
+    decontamination.contaminated(docs, items).collect()
+    began = time.time()
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontamination.contaminated(docs, items).collect()}
+    assert got == {(1, 1): 1.0, (2, 1): 1.0, (3, 2): 1.0} and time.time() - began < 20
+
+
+def test_decontamination_judges_each_row(spark):
+    """Rows that share a doc_id with a leaking one stay; a null doc_id is judged."""
+    rng = random.Random(3)
+    leak = prose(rng, 30)
+    rows = [(1, leak), (1, prose(rng, 50)), (None, "x " + leak), (None, prose(rng, 40)), (2, None), (3, "")]
+    docs, items = documents(spark, rows), spark.createDataFrame([(1, leak), (None, leak), (2, None), (4, prose(rng, 20)), (4, leak[9:])], "item_id long, text string")
+    kept = Counter((r.doc_id, r.text) for r in decontamination.without_benchmark(docs, items).collect())
+    assert kept == Counter(r for r in rows if leak not in (r[1] or ""))
+    assert {(r.doc_id, r.item_id) for r in decontamination.contaminated(docs, items).collect()} == {(a, b) for a in (1, None) for b in (1, 4, None)}
+    assert decontamination.contaminated(documents(spark, []), items).count() == 0
 
 
 def test_decontamination_of_nothing(spark):
@@ -348,7 +382,7 @@ def test_multi_index_finds_all_within_the_radius():
         b = a
         for bit in rng.sample(range(64), decontamination.RADIUS):
             b ^= 1 << bit
-        assert any(((a >> i * 8 ^ b >> i * 8) & 255).bit_count() <= 1 for i in range(8))
+        assert any(((a >> i * 8 ^ b >> i * 8) & 255).bit_count() <= 2 for i in range(8))
 
 
 # --- 5 and 6
