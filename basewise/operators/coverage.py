@@ -6,7 +6,7 @@ row of 0.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basewise.functions.cells import ratio
@@ -37,8 +37,7 @@ def contig_medians(coverage: DataFrame, contigs: DataFrame) -> DataFrame:
 
 def longest_contig(contigs: DataFrame) -> DataFrame:
     """The chromosome: the longest contig, the first on ties."""
-    w = Window.orderBy(F.desc("contig_len"), "contig_idx")
-    return contigs.withColumn("__n", F.row_number().over(w)).where("__n = 1").select("contig_idx")
+    return contigs.agg(F.min_by("contig_idx", F.struct(-F.col("contig_len"), F.col("contig_idx"))).alias("contig_idx"))
 
 
 def chromosome_median(coverage: DataFrame, contigs: DataFrame) -> DataFrame:

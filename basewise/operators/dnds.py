@@ -17,26 +17,27 @@ CLASSES = ("AT/TA", "AC/TG", "AG/TC", "GC/CG", "GT/CA", "GA/CT")
 
 
 def mutations(annotated: DataFrame) -> DataFrame:
-    """p, anc_nt, new_nt, n_new, mutation_type: a row for each new letter of nts."""
+    """group_id, p, anc_nt, new_nt, n_new, mutation_type: a row for each new letter of nts."""
     new = F.filter(F.split("nts", ""), lambda x: (x != F.col("anc_nt")) & x.isin("A", "T", "C", "G"))
     df = annotated.where((F.col("anc_nt") != ".") & F.col("nts").contains(F.col("anc_nt")))
-    return df.select("p", "anc_nt", "mutation_type", F.size(new).alias("n_new"), F.explode(new).alias("new_nt"))
+    return df.select("group_id", "p", "anc_nt", "mutation_type", F.size(new).alias("n_new"), F.explode(new).alias("new_nt"))
 
 
 def mutation_matrix(annotated: DataFrame) -> DataFrame:
-    return mutations(annotated).groupBy("anc_nt", "new_nt").agg(F.count(F.lit(1)).alias("n"))
+    return mutations(annotated).groupBy("group_id", "anc_nt", "new_nt").agg(F.count(F.lit(1)).alias("n"))
 
 
 def mutation_spectrum(annotated: DataFrame) -> DataFrame:
-    """The six classes with their counts, none left out."""
-    spark = annotated.sparkSession
-    counted = mutations(annotated).groupBy(mutation_class(F.col("anc_nt"), F.col("new_nt")).alias("class")).agg(F.count(F.lit(1)).alias("n"))
-    return spark.createDataFrame([(c,) for c in CLASSES], "class string").join(counted, "class", "left").select("class", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    """The six classes of each group with their counts, none left out."""
+    classes = F.explode(F.array(*map(F.lit, CLASSES))).alias("class")
+    counted = mutations(annotated).groupBy("group_id", mutation_class(F.col("anc_nt"), F.col("new_nt")).alias("class")).agg(F.count(F.lit(1)).alias("n"))
+    every = annotated.select("group_id").distinct().select("group_id", classes)
+    return every.join(counted, ["group_id", "class"], "left").select("group_id", "class", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
 def type_counts(annotated: DataFrame) -> DataFrame:
-    """Positions of one new letter by mutation type."""
-    return mutations(annotated).where("n_new = 1").groupBy("mutation_type").agg(F.count(F.lit(1)).alias("n"))
+    """Positions of one new letter by group and mutation type."""
+    return mutations(annotated).where("n_new = 1").groupBy("group_id", "mutation_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 def codon_usage(features: DataFrame) -> DataFrame:
@@ -60,26 +61,26 @@ def codon_mutations() -> list[tuple[str, str, str, int, int]]:
 
 
 def expected_nonsynonymous(usage: DataFrame, spectrum: DataFrame) -> DataFrame:
-    """p_nonsyn: the chance that a neutral mutation changes an amino acid.
+    """group_id, p_nonsyn: the chance that a neutral mutation changes an amino acid.
 
-    The spectrum is taken as measured from MEASURED_FROM mutations on, else as
-    even.  Each class's share is split evenly over its two mutations; within a
-    mutation codons weigh by their use and their places of the base.
+    A group's spectrum is taken as measured from MEASURED_FROM mutations on, else
+    as even.  Each class's share is split evenly over its two mutations; within
+    a mutation codons weigh by their use and their places of the base.
     """
     spark = usage.sparkSession
     table = spark.createDataFrame(codon_mutations(), "codon string, base string, new string, places int, changes int")
-    total = spectrum.agg(F.sum("n").alias("total"))
-    share = spectrum.join(F.broadcast(total), how="cross").select("class", F.when(F.col("total") >= MEASURED_FROM, F.col("n") / F.col("total")).otherwise(F.lit(1 / 6)).alias("share"))
+    total = spectrum.groupBy("group_id").agg(F.sum("n").alias("total"))
+    share = spectrum.join(total, "group_id").select("group_id", "class", F.when(F.col("total") >= MEASURED_FROM, F.col("n") / F.col("total")).otherwise(F.lit(1 / 6)).alias("share"))
     df = table.join(F.broadcast(usage), "codon").withColumn("class", mutation_class(F.col("base"), F.col("new")))
     one = df.groupBy("base", "new", "class").agg(F.try_divide(F.sum(F.col("changes") * F.col("n")).cast("double"), F.sum(F.col("places") * F.col("n")).cast("double")).alias("chance"))
-    return one.join(share, "class").agg(F.sum(F.coalesce("chance", F.lit(0.0)) * F.col("share") / 2).alias("p_nonsyn"))
+    return share.join(F.broadcast(one), "class").groupBy("group_id").agg(F.sum(F.coalesce("chance", F.lit(0.0)) * F.col("share") / 2).alias("p_nonsyn"))
 
 
 def observed_nonsynonymous(annotated: DataFrame, alpha: float = 0.05) -> DataFrame:
-    """n_nonsyn, n_syn, p_nonsyn and its exact binomial interval."""
+    """group_id, n_nonsyn, n_syn, p_nonsyn and its exact binomial interval."""
     inside = annotated.where(F.col("gene_idx").isNotNull())
     n, s = F.count_if(F.col("mutation_type") == "N"), F.count_if(F.col("mutation_type") == "S")
-    df = inside.agg(n.alias("n_nonsyn"), s.alias("n_syn"))
+    df = annotated.select("group_id").distinct().join(inside.groupBy("group_id").agg(n.alias("n_nonsyn"), s.alias("n_syn")), "group_id", "left").na.fill(0, ["n_nonsyn", "n_syn"])
     df = df.withColumn("p_nonsyn", F.coalesce(F.try_divide(F.col("n_nonsyn").cast("double"), (F.col("n_nonsyn") + F.col("n_syn")).cast("double")), F.lit(0.0)))
 
     @F.pandas_udf("low double, high double")
@@ -87,7 +88,7 @@ def observed_nonsynonymous(annotated: DataFrame, alpha: float = 0.05) -> DataFra
         for x, y in batches:
             yield pd.DataFrame([binomial_interval(int(a), int(a + b), alpha) for a, b in zip(x, y, strict=True)], columns=["low", "high"])
 
-    return df.withColumn("ci", interval("n_nonsyn", "n_syn")).select("n_nonsyn", "n_syn", "p_nonsyn", F.col("ci.low").alias("ci_low"), F.col("ci.high").alias("ci_high"))
+    return df.withColumn("ci", interval("n_nonsyn", "n_syn")).select("group_id", "n_nonsyn", "n_syn", "p_nonsyn", F.col("ci.low").alias("ci_low"), F.col("ci.high").alias("ci_high"))
 
 
 def binomial_interval(x: int, n: int, alpha: float = 0.05) -> tuple[float, float]:
@@ -106,8 +107,8 @@ def odds(p: str) -> Column:
 
 
 def dnds(annotated: DataFrame, features: DataFrame, alpha: float = 0.05) -> DataFrame:
-    """One row: observed and expected odds of a change, their ratio, its bounds."""
-    expected = expected_nonsynonymous(codon_usage(features), mutation_spectrum(annotated)).select(F.col("p_nonsyn").alias("p_expected"))
-    df = observed_nonsynonymous(annotated, alpha).join(expected, how="cross")
+    """A row a group: observed and expected odds of a change, their ratio, its bounds."""
+    expected = expected_nonsynonymous(codon_usage(features), mutation_spectrum(annotated)).select("group_id", F.col("p_nonsyn").alias("p_expected"))
+    df = observed_nonsynonymous(annotated, alpha).join(expected, "group_id")
     ratios = {name: F.try_divide(odds(p), odds("p_expected")) for name, p in (("dnds", "p_nonsyn"), ("dnds_low", "ci_low"), ("dnds_high", "ci_high"))}
     return df.withColumns(ratios)

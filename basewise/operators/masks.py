@@ -95,6 +95,22 @@ def apply_masks(cells: DataFrame, coverage: DataFrame, contigs: DataFrame, param
     return df.withColumn("call_cpn", mask(F.col("call_mmcp"), over))
 
 
+def extra_masks(cells: DataFrame, call: str, params: FilterParams = FilterParams()) -> DataFrame:
+    """cells with extra_call: strand coverage and indels, then, of what they
+    leave, the fraction of N and the median coverage of the position."""
+    bad = (F.col("fwd_cov") < params.min_strand_cov) | (F.col("rev_cov") < params.min_strand_cov) | (indel_fraction() > params.max_indel)
+    df = cells.withColumn("extra_call", mask(F.col(call), bad))
+    site = df.groupBy(*SITE).agg(F.avg((F.col("extra_call") == 0).cast("double")).alias("__n"), F.median("cov").alias("__cov"))
+    over = (F.col("__n") > params.max_frac_n) | (F.col("__cov") < params.min_median_cov)
+    return df.join(site, SITE).withColumn("extra_call", mask(F.col("extra_call"), over)).drop("__n", "__cov")
+
+
+def mask_samples(cells: DataFrame, call: str, lost: DataFrame) -> DataFrame:
+    """cells with sample_call: all calls of the samples in lost are N."""
+    held = lost.select("group_id", "sample_id", F.lit(True).alias("__lost")).distinct()
+    return cells.join(F.broadcast(held), ["group_id", "sample_id"], "left").withColumn("sample_call", mask(F.col(call), F.col("__lost"))).drop("__lost")
+
+
 def filter_tokens(masked: DataFrame) -> DataFrame:
     """A token per stage and position, by one aggregate.
 

@@ -1,4 +1,4 @@
-"""The convolutional scorer of positions: its forward pass and its training step.
+"""The convolutional scorer of positions: its forward pass.
 
 Weights come from an npz file; without one, positions are skipped (null).
 """

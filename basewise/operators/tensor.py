@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basewise.functions.cells import ratio
 from basewise.functions.stats import normal_cdf, one_sample, welch
 from basewise.operators.masks import SITE, drop_monomorphic, drop_positions, drop_samples, keep_positions, mask, strand_conflict
 from basewise.operators.variants import allele_votes, ambiguity, modal_and_second
+from basewise.sources.store import written
 
 CLIP = 10.0
 FEATURES = ["fwd_share", "rev_share", "fwd_depth", "rev_depth", "fwd", "rev", "qual", "indel"]
@@ -68,10 +69,12 @@ def low_quality_positions(tensor: DataFrame, any_dropped: Column | bool = False)
     If samples were dropped: none has a read of the second base, or every strand
     is empty or has a major of at least its minor.  Always: some sample shows
     one base on each strand, two different ones, one of them the second, and
-    under two samples show the second alone on both.
+    under two samples show the second alone on both.  any_dropped: for all, or
+    a boolean of the tensor's rows, the same within a group.
     """
     at = lambda strand, k: F.sum(F.when(F.col("slot") == k, F.col(strand)).otherwise(0))
-    cell = tensor.groupBy(*SITE, "sample_id").agg(*(at(s, k).alias(f"{s}{k}") for s in ("fwd", "rev") for k in (1, 2, 3, 4)))
+    dropped = any_dropped if isinstance(any_dropped, Column) else F.lit(any_dropped)
+    cell = tensor.groupBy(*SITE, "sample_id").agg(*(at(s, k).alias(f"{s}{k}") for s in ("fwd", "rev") for k in (1, 2, 3, 4)), F.max(dropped).alias("__dropped"))
     strands = ("fwd", "rev")
     covered = [sum((F.col(f"{s}{k}") for k in (2, 3, 4)), F.col(f"{s}1")) > 0 for s in strands]
     single = [sum(((F.col(f"{s}{k}") > 0).cast("int") for k in (2, 3, 4)), (F.col(f"{s}1") > 0).cast("int")) == 1 for s in strands]
@@ -80,9 +83,8 @@ def low_quality_positions(tensor: DataFrame, any_dropped: Column | bool = False)
     split = clean & ((F.col("fwd2") > 0) | (F.col("rev2") > 0)) & (top[0] != top[1])
     pure = clean & (F.col("fwd2") > 0) & (F.col("rev2") > 0)
     calm = [((F.col(f"{s}1") != 0) | ~c) & (F.col(f"{s}2") <= F.col(f"{s}1")) for s, c in zip(strands, covered, strict=True)]
-    site = cell.groupBy(*SITE).agg(F.sum(F.col("fwd2") + F.col("rev2")).alias("minors"), F.min(calm[0] & calm[1]).alias("calm"), F.count_if(split).alias("split"), F.count_if(pure).alias("pure"))
-    dropped = any_dropped if isinstance(any_dropped, Column) else F.lit(any_dropped)
-    return site.where((dropped & ((F.col("minors") == 0) | F.col("calm"))) | ((F.col("split") > 0) & (F.col("pure") < 2))).select(*SITE)
+    site = cell.groupBy(*SITE).agg(F.sum(F.col("fwd2") + F.col("rev2")).alias("minors"), F.min(calm[0] & calm[1]).alias("calm"), F.count_if(split).alias("split"), F.count_if(pure).alias("pure"), F.max("__dropped").alias("dropped"))
+    return site.where((F.col("dropped") & ((F.col("minors") == 0) | F.col("calm"))) | ((F.col("split") > 0) & (F.col("pure") < 2))).select(*SITE)
 
 
 def contaminated_cells(cells: DataFrame, call: str) -> DataFrame:
@@ -134,40 +136,30 @@ def adaptive_mask(cells: DataFrame, call: str) -> DataFrame:
     return df.withColumn("adaptive_call", mask(F.col("__both"), F.col("__on") & F.col("__seen") & (f < 3) & (r < 3))).drop("__both", "__on", "__seen")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df without its lineage: every step below joins its input to itself, and
-    the plan would grow with the product of all steps."""
-    if df.sparkSession.sparkContext.getCheckpointDir() is None:  # one machine
-        return df.localCheckpoint()
-    return df.checkpoint()
-
-
 def scorable(cells: DataFrame, medians: DataFrame, most: float = 45.0) -> tuple[DataFrame, DataFrame]:
     """The tensor of what the scorer is given, and the positions flagged as gaps.
 
     In order: samples and positions of low quality leave the tensor (most = 100
     keeps all); the masks of strands, frequency and depth, over all samples
     again, and the positions they leave monomorphic; contaminated cells; gaps.
-    A position that the last two remove is flagged.
+    A position that the last two remove is flagged.  cells is a table that is
+    read several times, best a written one.
     """
-    cells = cut(cells)
-    cube = cut(features(cells, medians))
+    cube = written(features(cells, medians), "tensor")
     if most < 100:
-        lost = cut(low_quality_samples(cube, most))
-        kept = drop_samples(cube, lost)
-        bad = low_quality_positions(kept).union(low_quality_positions(kept, True).join(lost.select("group_id").distinct(), "group_id", "left_semi"))
-        cube = cut(drop_positions(kept, bad))
+        lost = low_quality_samples(cube, most)
+        groups = lost.select("group_id", F.lit(True).alias("__lost")).distinct()
+        kept = drop_samples(cube, lost).join(F.broadcast(groups), "group_id", "left").withColumn("__lost", F.coalesce("__lost", F.lit(False)))
+        cube = written(drop_positions(kept, low_quality_positions(kept, F.col("__lost"))).drop("__lost"), "scored")
     depth = medians.join(cells.select("group_id", "sample_id").distinct(), ["group_id", "sample_id"], "left_semi").groupBy("group_id").agg(F.median("median_cov").alias("__depth"))
     n = cube.groupBy("group_id").agg(F.count_distinct("sample_id").alias("__n"))
-    held = adaptive_mask(keep_positions(cells, cube), "major_nt").join(F.broadcast(depth), "group_id", "left").join(F.broadcast(n), "group_id")
-    held = cut(depth_masks(held, "adaptive_call", F.col("__depth"), F.col("__n")).drop("__depth", "__n", "adaptive_call"))
-    before = cut(drop_monomorphic(held, "depth_call"))
+    held = adaptive_mask(written(keep_positions(cells, cube), "held"), "major_nt").join(F.broadcast(depth), "group_id", "left").join(F.broadcast(n), "group_id")
+    masked = written(depth_masks(held, "adaptive_call", F.col("__depth"), F.col("__n")).drop("__depth", "__n", "adaptive_call"), "depths")
+    before = drop_monomorphic(masked, "depth_call")
     clean = contaminated_cells(before, "depth_call").withColumn("clean_call", mask(F.col("depth_call"), F.col("contaminated")))
-    clean = cut(clean)
-    after = drop_positions(drop_monomorphic(clean, "clean_call"), gaps(gap_statistics(clean, medians, "clean_call"))).select(*SITE).distinct()
-    after = cut(after)
-    flagged = drop_positions(before.select(*SITE).distinct(), after)
-    return cut(keep_positions(cube, after)), cut(flagged)
+    clean = written(clean, "clean")
+    after = written(drop_positions(drop_monomorphic(clean, "clean_call"), gaps(gap_statistics(clean, medians, "clean_call"))).select(*SITE).distinct(), "after")
+    return keep_positions(cube, after), drop_positions(clean.select(*SITE).distinct(), after)
 
 
 def gap_statistics(cells: DataFrame, medians: DataFrame, call: str) -> DataFrame:
@@ -178,7 +170,7 @@ def gap_statistics(cells: DataFrame, medians: DataFrame, call: str) -> DataFrame
     normal tail of the means' distance in spreads of the modal samples.  Both
     are null where undefined.
     """
-    site = F.broadcast(modal_and_second(allele_votes(cells, call)).select(*SITE, "modal", "second"))
+    site = modal_and_second(allele_votes(cells, call)).select(*SITE, "modal", "second")
     r = ratio(F.col("counts_major"), F.col("median_cov"))
     df = cells.join(site, SITE).join(F.broadcast(medians), ["group_id", "sample_id"]).withColumn("r", r).where("r > 0")
     of = lambda which: F.when(F.col(call) == F.col(which), F.col("r"))
@@ -205,11 +197,16 @@ def gap_statistics(cells: DataFrame, medians: DataFrame, call: str) -> DataFrame
 
 
 def near_three(positions: DataFrame, within: int = 100) -> DataFrame:
-    """Positions with over two others within reach: counts over one window."""
-    from pyspark.sql import Window
+    """Positions with over two others within reach.
 
-    w = Window.partitionBy("group_id").orderBy("p").rangeBetween(-within, within)
-    return positions.select(*SITE).distinct().withColumn("n", F.count(F.lit(1)).over(w) - 1).where("n > 2").select(*SITE)
+    Counted in buckets of the reach's width that also hold their neighbours'
+    positions, so that no task has a whole group.
+    """
+    held = positions.select(*SITE).distinct()
+    bucket = F.floor(F.col("p") / (within + 1))
+    spread = held.select(*SITE, bucket.alias("home"), F.explode(F.array(bucket - 1, bucket, bucket + 1)).alias("bucket"))
+    w = Window.partitionBy("group_id", "bucket").orderBy("p").rangeBetween(-within, within)
+    return spread.withColumn("n", F.count(F.lit(1)).over(w) - 1).where((F.col("bucket") == F.col("home")) & (F.col("n") > 2)).select(*SITE)
 
 
 def gaps(statistics: DataFrame) -> DataFrame:
@@ -222,8 +219,6 @@ def gaps(statistics: DataFrame) -> DataFrame:
 
 def lowest(cells: DataFrame, value: str, x: int) -> DataFrame:
     """The x samples of least value at each position."""
-    from pyspark.sql import Window
-
     w = Window.partitionBy(*SITE).orderBy(value, "sample_id")
     return cells.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= x).drop("__n")
 

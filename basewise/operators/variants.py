@@ -74,9 +74,12 @@ def recombinant_pairs(cells: DataFrame, anc: DataFrame, good: DataFrame, distanc
     from a bucketed interval self-join; a spread of 0 correlates with nothing.
     """
     sites = good.select(*SITE).distinct()
-    w = Window.partitionBy("group_id").orderBy("p").rangeBetween(-(distance - 1), 0)
-    # The least good position within reach to the left, itself at most.
-    sites = sites.withColumn("reach", F.min("p").over(w))
+    # The least good position within reach to the left, itself at most: looked
+    # for in buckets that also hold the bucket before, so no task has a group.
+    home = F.floor(F.col("p") / distance)
+    spread = sites.select(*SITE, home.alias("home"), F.explode(F.array(home, home + 1)).alias("bucket"))
+    w = Window.partitionBy("group_id", "bucket").orderBy("p").rangeBetween(-(distance - 1), 0)
+    sites = spread.withColumn("reach", F.min("p").over(w)).where("bucket = home").select(*SITE, "reach")
     freq = cells.where(~F.col("in_outgroup")).join(sites, SITE).join(anc, SITE).select(*SITE, "sample_id", mutant_frequency(F.col("anc")).alias("f"))
     held = freq.groupBy(*SITE).agg(F.sort_array(F.collect_list(F.struct("sample_id", "f"))).alias("v"), F.avg("f").alias("m"), F.stddev_pop("f").alias("s"))
     held = held.join(sites, SITE).where("s > 0").withColumn("v", F.expr("transform(v, x -> (x.f - m) / s)"))
@@ -147,7 +150,7 @@ def ambiguity(cells: DataFrame, max_freq: float = 0.95) -> DataFrame:
     allele, on its better strand, than the most reads of the second allele seen
     as a minor one in a modal sample; that count is raised by 2 where over 2.
     """
-    site = F.broadcast(modal_and_second(allele_votes(cells, "major_nt")).select(*SITE, "modal", "second"))
+    site = modal_and_second(allele_votes(cells, "major_nt")).select(*SITE, "modal", "second")
     df = cells.join(site, SITE)
     modal = F.col("major_nt") == F.col("modal")
     off = F.max(F.when(F.col("major_nt") != F.col("modal"), F.col("counts_major_max")))
@@ -162,7 +165,12 @@ def ambiguity(cells: DataFrame, max_freq: float = 0.95) -> DataFrame:
     return out.select(*SITE, F.coalesce(ratio(F.col("n_ambiguous"), F.col("n_modal")), F.lit(0.0)).alias("frac_ambiguous"), (F.coalesce("off", F.lit(0)) < F.coalesce(raised, F.lit(0))).alias("check"))
 
 
-def final_labels(sites: DataFrame, n_samples: int) -> DataFrame:
+def cutoff(n_samples: int | Column) -> Column:
+    """The most ambiguous samples that a position may have."""
+    return F.when(F.lit(n_samples) > 20, 0.1).otherwise(0.25)
+
+
+def final_labels(sites: DataFrame, n_samples: int | Column) -> DataFrame:
     """sites with label, cnn_out, prob_out, good and good_all.
 
     sites: rule (0/1), cnn (0/1, null: skipped), prob, qual_filter, recomb, gap,
@@ -171,8 +179,7 @@ def final_labels(sites: DataFrame, n_samples: int) -> DataFrame:
     ambiguity over the cutoff or the check speaks against it, and then the
     network's word is turned over with its probability.
     """
-    cutoff = 0.1 if n_samples > 20 else 0.25
-    no = F.coalesce(F.col("recomb"), F.lit(False)) | F.coalesce(F.col("gap"), F.lit(False)) | (F.col("frac_ambiguous") > cutoff) | F.col("check")
+    no = F.coalesce(F.col("recomb"), F.lit(False)) | F.coalesce(F.col("gap"), F.lit(False)) | (F.col("frac_ambiguous") > cutoff(n_samples)) | F.col("check")
     falls, says = F.col("qual_filter") == 1, F.coalesce(F.col("cnn"), F.lit(0)) == 1
     turned = ~falls & ~says & (F.col("rule") == 1) & ~no
     df = sites.withColumns(
@@ -187,9 +194,8 @@ def final_labels(sites: DataFrame, n_samples: int) -> DataFrame:
     return df.withColumns({"good_all": kept, "good": good})
 
 
-def fast_labels(sites: DataFrame, n_samples: int) -> DataFrame:
+def fast_labels(sites: DataFrame, n_samples: int | Column) -> DataFrame:
     """Labels without rules, for very many positions: the network's 0 becomes 1
     unless ambiguity or the check speaks against it."""
-    cutoff = 0.1 if n_samples > 20 else 0.25
-    no = (F.col("frac_ambiguous") > cutoff) | F.col("check")
+    no = (F.col("frac_ambiguous") > cutoff(n_samples)) | F.col("check")
     return sites.withColumn("label", F.when((F.col("cnn") == 1) | ~no, 1).otherwise(0))

@@ -19,8 +19,9 @@ from basewise.operators import candidates, dnds, masks, report, score, tensor, t
 from basewise.operators import coverage as co
 from basewise.operators.masks import FilterParams
 from basewise.plans import sql as s
-from basewise.plans.caller import CallParams, call_snvs
+from basewise.plans.caller import Caller, CallParams, Reanalysis
 from basewise.sources import adapter
+from basewise.sources.store import written
 
 PARAMS = FilterParams(s.QUAL, s.STRAND, s.MAF, s.INDEL, s.FRAC, s.MEDIAN, s.MEAN_COPY, s.MAX_COPY)
 DISTANCE, PROMOTER = 30, 5
@@ -32,8 +33,8 @@ ORACLES: dict[str, str] = {}
 class Inputs:
     """The adapter's tables and the steps most queries begin with.
 
-    Steps that a query reads several times are persisted: a cell a sample and
-    position, or a row a position.
+    Steps that a query reads several times are written to the shared folder: a
+    cell a sample and position, or a row a position.
     """
 
     spark: SparkSession
@@ -56,11 +57,11 @@ class Inputs:
     @cached_property
     def called(self) -> DataFrame:
         """Calls of the element stages up to the allele frequency."""
-        return masks.element_masks(self.cells, PARAMS).withColumn("call", F.col("call_maf")).persist()
+        return written(masks.element_masks(self.cells, PARAMS).withColumn("call", F.col("call_maf")), "called")
 
     @cached_property
     def anc(self) -> DataFrame:
-        return variants.ancestral(self.called, "call", self.contigs).persist()
+        return written(variants.ancestral(self.called, "call", self.contigs), "ancestral")
 
     @cached_property
     def quality(self) -> DataFrame:
@@ -68,11 +69,11 @@ class Inputs:
 
     @cached_property
     def prelim(self) -> DataFrame:
-        return variants.fixed_mutations(self.ingroup, "call", self.anc, self.quality).persist()
+        return written(variants.fixed_mutations(self.ingroup, "call", self.anc, self.quality), "preliminary")
 
     @cached_property
     def pairs(self) -> DataFrame:
-        return variants.recombinant_pairs(self.called, self.anc, self.prelim, DISTANCE).persist()
+        return written(variants.recombinant_pairs(self.called, self.anc, self.prelim, DISTANCE), "pairs")
 
     @cached_property
     def recomb(self) -> DataFrame:
@@ -80,12 +81,12 @@ class Inputs:
 
     @cached_property
     def fixed(self) -> DataFrame:
-        return variants.fixed_mutations(self.ingroup, "call", self.anc, self.quality, self.recomb).persist()
+        return written(self.prelim.join(self.recomb, masks.SITE, "left_anti"), "fixed")
 
     @cached_property
     def annotated(self) -> DataFrame:
         fixed = self.fixed
-        return an.annotate(fixed.select("group_id", "p").distinct(), self.contigs, self.features, self.anc, fixed, PROMOTER).persist()
+        return written(an.annotate(fixed.select("group_id", "p").distinct(), self.contigs, self.features, self.anc, fixed, PROMOTER), "annotated")
 
     @cached_property
     def medians(self) -> DataFrame:
@@ -335,17 +336,17 @@ def mutation_type(x: Inputs) -> DataFrame:
 
 @query("SELECT anc_nt, new_nt, count(*) AS n FROM muts GROUP BY ALL")
 def mutation_matrix(x: Inputs) -> DataFrame:
-    return dnds.mutation_matrix(x.annotated)
+    return dnds.mutation_matrix(x.annotated).drop("group_id")
 
 
 @query(f"SELECT class, count(m.class) AS n FROM (SELECT unnest(['AT/TA', 'AC/TG', 'AG/TC', 'GC/CG', 'GT/CA', 'GA/CT']) AS class) c LEFT JOIN (SELECT {s.CLASS} AS class FROM muts) m USING (class) GROUP BY class")
 def mutation_spectrum(x: Inputs) -> DataFrame:
-    return dnds.mutation_spectrum(x.annotated)
+    return dnds.mutation_spectrum(x.annotated).drop("group_id")
 
 
 @query("SELECT mutation_type, count(*) AS n FROM muts WHERE n_new = 1 GROUP BY mutation_type")
 def mutation_type_counts(x: Inputs) -> DataFrame:
-    return dnds.type_counts(x.annotated)
+    return dnds.type_counts(x.annotated).drop("group_id")
 
 
 _USAGE = "SELECT substr(sequence, CAST(i * 3 + 1 AS INTEGER), 3) AS codon, count(*) AS n FROM features, (SELECT range AS i FROM range(7)) GROUP BY ALL"
@@ -356,25 +357,40 @@ def codon_usage(x: Inputs) -> DataFrame:
     return dnds.codon_usage(x.features)
 
 
-@query(f"""SELECT round(sum(chance * share / 2), 9) AS p_nonsyn FROM (
+_EXPECTED = f"""SELECT round(sum(chance * share / 2), 9) AS p_nonsyn FROM (
   SELECT anc_nt, new_nt, {s.CLASS} AS class, sum(CASE WHEN c2.aa <> c1.aa THEN u.n ELSE 0 END)::DOUBLE / sum(u.n) AS chance
   FROM ({_USAGE}) u JOIN codons c1 USING (codon), (SELECT unnest([1, 2, 3]) AS i) k, (SELECT unnest(['A', 'C', 'G', 'T']) AS new_nt) b, LATERAL (SELECT substr(codon, i, 1) AS anc_nt) l
   JOIN codons c2 ON c2.codon = substr(c1.codon, 1, i - 1) || new_nt || substr(c1.codon, i + 1) WHERE anc_nt <> new_nt GROUP BY ALL)
   JOIN (SELECT class, CASE WHEN (SELECT count(*) FROM muts) >= 100 THEN count(m.class)::DOUBLE / (SELECT count(*) FROM muts) ELSE 1.0::DOUBLE / 6 END AS share
-    FROM (SELECT unnest(['AT/TA', 'AC/TG', 'AG/TC', 'GC/CG', 'GT/CA', 'GA/CT']) AS class) c LEFT JOIN (SELECT {s.CLASS} AS class FROM muts) m USING (class) GROUP BY class) USING (class)""")
+    FROM (SELECT unnest(['AT/TA', 'AC/TG', 'AG/TC', 'GC/CG', 'GT/CA', 'GA/CT']) AS class) c LEFT JOIN (SELECT {s.CLASS} AS class FROM muts) m USING (class) GROUP BY class) USING (class)"""
+
+
+@query(_EXPECTED)
 def dnds_expected(x: Inputs) -> DataFrame:
     return dnds.expected_nonsynonymous(dnds.codon_usage(x.features), dnds.mutation_spectrum(x.annotated)).select(F.round("p_nonsyn", 9).alias("p_nonsyn"))
 
 
-@query("""SELECT n_nonsyn, n_syn, CASE WHEN n_nonsyn + n_syn > 0 THEN n_nonsyn::DOUBLE / (n_nonsyn + n_syn) ELSE 0 END AS p_nonsyn
-  FROM (SELECT count(*) FILTER (mutation_type = 'N') AS n_nonsyn, count(*) FILTER (mutation_type = 'S') AS n_syn FROM annotated WHERE gene_idx IS NOT NULL)""")
+_OBSERVED = """SELECT n_nonsyn, n_syn, CASE WHEN n_nonsyn + n_syn > 0 THEN n_nonsyn::DOUBLE / (n_nonsyn + n_syn) ELSE 0 END AS p_nonsyn
+  FROM (SELECT count(*) FILTER (mutation_type = 'N') AS n_nonsyn, count(*) FILTER (mutation_type = 'S') AS n_syn FROM annotated WHERE gene_idx IS NOT NULL)"""
+
+
+@query(_OBSERVED)
 def dnds_observed(x: Inputs) -> DataFrame:
     return dnds.observed_nonsynonymous(x.annotated).select("n_nonsyn", "n_syn", "p_nonsyn")
 
 
-@query()
+@query(f"""SELECT n_nonsyn, n_syn, round(o.p_nonsyn, 9) AS p_nonsyn, e.p_nonsyn AS p_expected, round((o.p_nonsyn / nullif(1 - o.p_nonsyn, 0)) / nullif(e.p_nonsyn / nullif(1 - e.p_nonsyn, 0), 0), 6) AS dnds
+  FROM ({_OBSERVED}) o, ({_EXPECTED}) e""")
 def dnds_ratio(x: Inputs) -> DataFrame:
-    return dnds.dnds(x.annotated, x.features)
+    """Without its interval, which SQL can't express; see dnds_interval."""
+    df = dnds.dnds(x.annotated, x.features)
+    return df.select("n_nonsyn", "n_syn", F.round("p_nonsyn", 9).alias("p_nonsyn"), F.round("p_expected", 9).alias("p_expected"), F.round("dnds", 6).alias("dnds"))
+
+
+@query()
+def dnds_interval(x: Inputs) -> DataFrame:
+    """The exact binomial interval and the ratio's bounds; tested by hand."""
+    return dnds.dnds(x.annotated, x.features).select("ci_low", "ci_high", "dnds_low", "dnds_high")
 
 
 @query("""SELECT p, CAST(o[1] % 8 AS INTEGER) AS o1, CAST(o[2] % 8 AS INTEGER) AS o2, CAST(o[3] % 8 AS INTEGER) AS o3, CAST(o[4] % 8 AS INTEGER) AS o4 FROM (
@@ -429,9 +445,25 @@ def gap_cluster(x: Inputs) -> DataFrame:
     return tensor.near_three(x.prelim, 4).select("p")
 
 
-@query()
+_MOMENTS = [(n, w) for w in ("modal", "second") for n in ("n", "mean", "var", "low", "high")]
+
+
+@query(f"""SELECT p, {", ".join(f"n_{w}" if n == "n" else f"round({n}_{w}, 9) AS {n}_{w}" for n, w in _MOMENTS)} FROM (
+  SELECT p, {", ".join(f"{dict(n='count', mean='avg', var='var_samp', low='min', high='max')[n]}(r) FILTER (major_nt = {w}) AS {n}_{w}" for n, w in _MOMENTS)}
+  FROM (SELECT c.p, major_nt, counts_major::DOUBLE / nullif(chrom_median, 0) AS r, k.modal, CASE WHEN k.k2 >= 8 THEN k.k2 % 8 ELSE 0 END AS second FROM cells c JOIN chrom USING (sample_id) JOIN (
+    SELECT p, CASE greatest(n1, n2, n3, n4) WHEN n1 THEN 1 WHEN n2 THEN 2 WHEN n3 THEN 3 ELSE 4 END AS modal, list_reverse_sort([n1 * 8 + 1, n2 * 8 + 2, n3 * 8 + 3, n4 * 8 + 4])[2] AS k2 FROM (
+      SELECT p, {", ".join(f"count(*) FILTER (major_nt = {i}) AS n{i}" for i in (1, 2, 3, 4))} FROM cells WHERE NOT in_outgroup GROUP BY p)) k ON k.p = c.p WHERE NOT in_outgroup)
+  WHERE r > 0 AND major_nt > 0 GROUP BY p)""")
 def gap_statistics(x: Inputs) -> DataFrame:
-    return tensor.gap_statistics(x.ingroup, x.medians, "major_nt").drop("group_id")
+    """The moments that the tests are worked out from; see gap_tests."""
+    df = tensor.gap_statistics(x.ingroup, x.medians, "major_nt")
+    return df.select("p", *(F.col(f"n_{w}") if n == "n" else F.round(f"{n}_{w}", 9).alias(f"{n}_{w}") for n, w in _MOMENTS))
+
+
+@query()
+def gap_tests(x: Inputs) -> DataFrame:
+    """Student's p and the normal tail; tested against the definitions."""
+    return tensor.gap_statistics(x.ingroup, x.medians, "major_nt").select("p", "p_value", "p_gap")
 
 
 @query("SELECT p, sample_id, cov FROM cells QUALIFY row_number() OVER (PARTITION BY p ORDER BY cov, sample_id) <= 3")
@@ -467,8 +499,8 @@ def set_intersection_positions(x: Inputs) -> DataFrame:
 
 @query("SELECT g.p, a.mutation_type, a.nts FROM good g LEFT JOIN annotated a USING (p)")
 def merged_report(x: Inputs) -> DataFrame:
-    left = x.prelim.select(F.col("p").alias("genome_pos")).distinct()
-    return report.merged_report(left, x.annotated.select("group_id", "p", "mutation_type", "nts")).withColumnRenamed("genome_pos", "p")
+    left = x.prelim.select("group_id", F.col("p").alias("genome_pos")).distinct()
+    return report.merged_report(left, x.annotated.select("group_id", "p", "mutation_type", "nts")).drop("group_id").withColumnRenamed("genome_pos", "p")
 
 
 _NAMES = [f"sample_{i:02d}" for i in range(adapter.SAMPLES)]
@@ -484,16 +516,41 @@ def sample_fasta(x: Inputs) -> DataFrame:
     return tree.alignment(x.called, "call", x.samples, x.anc).drop("group_id")
 
 
-@query("SELECT CAST(least(floor(cov / 5.0), 11) AS INTEGER) AS bin, count(*) AS n FROM coverage WHERE cov BETWEEN 0 AND 60 GROUP BY ALL")
+@query("SELECT CAST(floor(cov / 5.0) AS INTEGER) AS bin, count(*) AS n FROM coverage GROUP BY ALL")
 def histogram_cov(x: Inputs) -> DataFrame:
-    return report.histogram(x.coverage, F.col("cov"), 0, 60, 12)
+    return report.histogram(x.coverage, F.col("cov"), width=5)
 
 
-@query("""SELECT CAST(least(floor(n / 100.0 * 20), 19) AS INTEGER) AS bin, count(*) AS n FROM (SELECT sample_id, count(*) FILTER (major_nt = target) AS n FROM cells LEFT JOIN (
+_SNVS = """SELECT sample_id, count(*) FILTER (major_nt = target) AS n FROM cells LEFT JOIN (
   SELECT p, list_position([n1, n2, n3, n4], list_reverse_sort([n1, n2, n3, n4])[2]) AS target FROM alleles
-  WHERE (n1 > 0)::INT + (n2 > 0)::INT + (n3 > 0)::INT + (n4 > 0)::INT >= 2) USING (p) GROUP BY sample_id) WHERE n BETWEEN 0 AND 100 GROUP BY ALL""")
+  WHERE (n1 > 0)::INT + (n2 > 0)::INT + (n3 > 0)::INT + (n4 > 0)::INT >= 2) USING (p) GROUP BY sample_id"""
+
+
+def _bins(values: str, bins: int, ends: str = "") -> str:
+    """SQL of equal bins over values, a SELECT of v; the ends are the data's own unless given."""
+    ends = ends or f"SELECT min(v)::DOUBLE AS low, max(v)::DOUBLE AS high FROM ({values})"
+    return f"""SELECT CAST(least(floor(coalesce((v - low) / nullif(high - low, 0), 0) * {bins}), {bins - 1}) AS INTEGER) AS bin, count(*) AS n
+  FROM (SELECT v::DOUBLE AS v FROM ({values})), ({ends}) WHERE v BETWEEN low AND high GROUP BY ALL"""
+
+
+@query(_bins(f"SELECT n AS v FROM ({_SNVS})", 20))
 def histogram_snv(x: Inputs) -> DataFrame:
-    return report.histogram(variants.snvs_per_sample(x.cells), F.col("n_snvs"), 0, 100, 20)
+    return report.histogram(variants.snvs_per_sample(x.cells), F.col("n_snvs"), 20)
+
+
+@query(_bins(f"SELECT n AS v FROM ({_SNVS}) WHERE n <= 1000", 500))
+def histogram_snv_zoomed(x: Inputs) -> DataFrame:
+    return report.histogram(variants.snvs_per_sample(x.cells).where("n_snvs <= 1000"), F.col("n_snvs"), 500)
+
+
+@query(_bins("SELECT avg(CASE WHEN call_maf = 0 THEN 1.0::DOUBLE ELSE 0 END) AS v FROM masked GROUP BY p", 20, "SELECT 0::DOUBLE AS low, 1::DOUBLE AS high"))
+def histogram_frac_n(x: Inputs) -> DataFrame:
+    return report.histogram(masks.fraction_n(x.called, "call", "p"), F.col("frac_n"), 20, 0, 1)
+
+
+@query(_bins("SELECT qual AS v FROM cells", 50))
+def histogram_quality(x: Inputs) -> DataFrame:
+    return report.histogram(x.cells, F.col("qual"), 50)
 
 
 @query("SELECT a.sample_id AS sample_a, b.sample_id AS sample_b, count(*) AS compared, count(*) FILTER (a.call_maf <> b.call_maf) AS different FROM masked a JOIN masked b ON a.p = b.p AND a.sample_id < b.sample_id AND a.call_maf > 0 AND b.call_maf > 0 GROUP BY ALL")
@@ -516,9 +573,9 @@ def tree_calls(x: Inputs) -> DataFrame:
     return masks.tree_calls(x.cells).select("sample_id", "p", F.col("tree_call").alias("call"))
 
 
-@query("SELECT p FROM good ORDER BY p LIMIT 20")
+@query("SELECT p FROM good ORDER BY p LIMIT 2000")
 def chart_positions(x: Inputs) -> DataFrame:
-    return report.chart_positions(x.prelim, 20).select("p")
+    return report.chart_positions(x.prelim).select("p")
 
 
 _Q = ", ".join(f"coalesce(round_even(avg(CASE WHEN sym = {i} THEN bq END), 0), 0)::BIGINT AS bq{i}" for i in range(1, 9))
@@ -570,11 +627,174 @@ def sequence_functions(x: Inputs) -> DataFrame:
     return x.features.select("sequence", bases.reverse_complement(F.col("sequence")).alias("revcomp"), bases.translate_cds(F.col("sequence")).alias("translation"), "locustag")
 
 
-@query()
+def standin(cube: DataFrame) -> DataFrame:
+    """A network's word by position alone, so that SQL can say it too."""
+    p = F.col("p")
+    return cube.select(*masks.SITE).distinct().select(*masks.SITE, ((p % 10) / 10).alias("prob"), F.when(p % 7 != 0, (p % 2).cast("int")).alias("cnn"))
+
+
+def caller(x: Inputs, **held: object) -> Caller:
+    params = CallParams(filters=PARAMS, recomb_distance=DISTANCE, promoter=PROMOTER, **held)
+    return Caller(x.cmt, x.coverage, x.samples, x.contigs, x.features, params, scorer=standin)
+
+
+_LABELS = f"""
+, voted AS (SELECT p, (p % 10) / 10.0::DOUBLE AS prob, CASE WHEN p % 7 <> 0 THEN CAST(p % 2 AS INTEGER) END AS cnn FROM after),
+ruled AS (SELECT DISTINCT p FROM fixed),
+tokens AS (SELECT p, {_TOKEN} FROM (SELECT p, {_ALLELES} FROM masked GROUP BY p)),
+told2 AS (SELECT coalesce(v.p, r.p) AS p, prob, cnn, CASE WHEN r.p IS NULL THEN 0 ELSE 1 END AS rule FROM voted v FULL JOIN ruled r ON r.p = v.p),
+spoken AS (SELECT t.*, frac_ambiguous, {_CHECK} AS chk, tk.*, t.p IN (SELECT p FROM recomb) AS recomb, t.p IN (SELECT p FROM before) AND t.p NOT IN (SELECT p FROM after) AS gap
+  FROM told2 t JOIN ambiguity a ON a.p = t.p JOIN tokens tk ON tk.p = t.p WHERE cnn = 1 OR rule = 1),
+turn AS (SELECT *, qual_filter <> 1 AND coalesce(cnn, 0) <> 1 AND rule = 1 AND NOT (recomb OR gap OR frac_ambiguous > 0.25 OR chk) AS turned FROM spoken),
+lab AS (SELECT *, CASE WHEN qual_filter = 1 THEN 0 WHEN cnn = 1 OR turned THEN 1 ELSE 0 END AS label, CASE WHEN qual_filter = 1 THEN 0 WHEN turned THEN 1 ELSE cnn END AS cnn_out,
+  CASE WHEN qual_filter = 1 THEN 0.0::DOUBLE WHEN turned THEN coalesce(1 - prob, 1.0::DOUBLE) ELSE prob END AS prob_out FROM turn),
+good_all AS (SELECT * FROM lab WHERE label = 1 OR coalesce(cnn_out, 0) = 1 OR rule = 1)
+"""
+
+
+def called(select: str) -> str:
+    return s.sql_called(_LABELS + select)
+
+
+def caller_query(sql: str | None = None) -> Callable:
+    """As query, with the whole caller's steps as the common SQL."""
+
+    def held(f: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
+        query()(f)
+        if sql is not None:
+            ORACLES[f.__name__] = called(sql)
+        return f
+
+    return held
+
+
+@caller_query("SELECT p FROM after")
+def scorable_positions(x: Inputs) -> DataFrame:
+    """What is left for the scorer of the polymorphic positions."""
+    return caller(x).tensor.select("p").distinct()
+
+
+@caller_query("SELECT p FROM before WHERE p NOT IN (SELECT p FROM after)")
+def gap_positions(x: Inputs) -> DataFrame:
+    return caller(x).gaps.select("p")
+
+
+@caller_query(f"""SELECT CAST(1 AS INTEGER) AS group_id, p AS genome_pos, CAST(label AS INTEGER) AS pred_label, coalesce(CAST(cnn_out AS VARCHAR), 'skip') AS cnn_pred, rule AS rule_pred,
+  coalesce(CAST(prob_out AS VARCHAR), 'skip') AS cnn_prob, {", ".join(f"{st}_filter" for st in masks.STAGES)},
+  CAST(CASE WHEN cpn_filter = 0 AND p NOT IN (SELECT p FROM ruled) THEN 1 ELSE cpn_filter END AS INTEGER) AS fix_filter, CAST(recomb AS INTEGER) AS whether_recomb,
+  printf('%.6f', frac_ambiguous) AS fraction_ambiguous_samples, CAST(gap AS INTEGER) AS gap_filter FROM good_all""")
 def filter_table(x: Inputs) -> DataFrame:
-    """The caller from end to end, with untrained weights."""
-    params = CallParams(filters=PARAMS, recomb_distance=DISTANCE, promoter=PROMOTER)
-    return call_snvs(x.cmt, x.coverage, x.samples, x.contigs, x.features, params, score.random_weights())["filters"]
+    """The caller from end to end, with the stand-in's word for the network's."""
+    return caller(x).filters
+
+
+@caller_query("SELECT c.sample_id, c.p, c1, c8, CAST(qual AS BIGINT) AS qual, prob_out AS prob, CAST(label AS INTEGER) AS label, recomb FROM cmt c JOIN good_all g ON g.p = c.p")
+def final_table(x: Inputs) -> DataFrame:
+    return caller(x).final.select("sample_id", "p", "c1", "c8", "qual", "prob", "label", "recomb")
+
+
+@caller_query("SELECT p, CAST(label AS INTEGER) AS label, recomb FROM good_all")
+def final_labels_read(x: Inputs) -> DataFrame:
+    """The labels of a final table that was written and read again."""
+    return report.table_labels(written(caller(x).final, "final")).select("p", "label", "recomb")
+
+
+_TREE = "CASE WHEN cov < 1 OR qual < 30 OR major_freq < 0.75 THEN 0 ELSE major_nt END"
+
+
+@caller_query("""SELECT g.p, pl.locustag, CAST(pl.nt_pos AS BIGINT) AS nt_pos, CAST(q.mut_qual AS BIGINT) AS mut_qual, t.nts, """ + ", ".join(f"t.{n}" for n in _NAMES) + f""" FROM good_all g JOIN places pl ON pl.p = g.p JOIN quality q ON q.p = g.p
+  JOIN (SELECT p, string_agg(DISTINCT 'NATCG'[l + 1], '' ORDER BY 'NATCG'[l + 1]) FILTER (l > 0) AS nts, """ + ", ".join(f"max(CASE WHEN sample_id = {i} THEN 'NATCG'[l + 1] END) AS {n}" for i, n in enumerate(_NAMES)) + f" FROM (SELECT p, sample_id, {_TREE} AS l FROM cells) GROUP BY p) t ON t.p = g.p")
+def mutation_table(x: Inputs) -> DataFrame:
+    return caller(x).mutation_table(_NAMES).select("p", "locustag", "nt_pos", "mut_qual", "nts", *_NAMES)
+
+
+@caller_query("SELECT p, CAST(CASE WHEN cnn = 1 THEN 1 WHEN frac_ambiguous > 0.25 OR " + _CHECK + " THEN 0 ELSE 1 END AS INTEGER) AS pred, CAST(prob AS VARCHAR) AS prob, " + ", ".join(f"t.{n}" for n in _NAMES) + " FROM voted v JOIN ambiguity a USING (p) JOIN (SELECT p, " + ", ".join(f"max(CASE WHEN sample_id = {i} THEN 'NATCG'[major_nt + 1] END) AS {n}" for i, n in enumerate(_NAMES)) + " FROM cells GROUP BY p) t USING (p) WHERE cnn IS NOT NULL")
+def fast_predictions(x: Inputs) -> DataFrame:
+    """The same tables in the fast mode."""
+    return caller(x, fast_from=10).predictions(_NAMES).drop("group_id")
+
+
+@caller_query("SELECT label, count(*) AS n FROM (SELECT CASE WHEN label = 1 THEN 'final' ELSE 'label0' END AS label FROM good_all UNION ALL SELECT 'draft' FROM good_all) GROUP BY label")
+def merged_by_label(x: Inputs) -> DataFrame:
+    """How many rows of the merged report go to each of its tables."""
+    told = report.split_by_label(written(caller(x).merged, "merged"))
+    parts = [df.select(F.lit(name).alias("label")) for name, df in told.items()]
+    return parts[0].union(parts[1]).union(parts[2]).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+
+
+def reanalysis(x: Inputs, **held: object) -> Reanalysis:
+    final = written(caller(x).final, "final")
+    return Reanalysis(final, x.samples, x.contigs, x.features, CallParams(filters=PARAMS, promoter=PROMOTER), **held)
+
+
+_AGAIN = f"""
+, again AS (SELECT c.*, CAST({_TREE} AS INTEGER) AS l FROM cells c WHERE p IN (SELECT p FROM good_all WHERE label = 1 AND NOT recomb)),
+out2 AS (SELECT q.p, CAST(coalesce(v.l, g.ref_code) AS INTEGER) AS anc FROM (SELECT DISTINCT p FROM again) q JOIN genome g ON g.p = q.p LEFT JOIN (
+  SELECT p, l FROM again WHERE in_outgroup AND l > 0 GROUP BY p, l QUALIFY row_number() OVER (PARTITION BY p ORDER BY count(*) DESC, l) = 1) v ON v.p = q.p)
+"""
+
+
+@caller_query()
+def reanalysed_calls(x: Inputs) -> DataFrame:
+    """A final table read again: loose calls of its kept positions."""
+    return reanalysis(x).cells.select("sample_id", "p", "call")
+
+
+@caller_query()
+def reanalysed_mutations(x: Inputs) -> DataFrame:
+    return reanalysis(x).fixed.select("sample_id", "p", "call", "anc")
+
+
+@caller_query()
+def reanalysed_extras(x: Inputs) -> DataFrame:
+    """With the masks of strand coverage, indels, fraction of N and median coverage."""
+    return reanalysis(x, extras=True).cells.select("sample_id", "p", "call")
+
+
+ORACLES["reanalysed_calls"] = s.sql_called(_LABELS + _AGAIN + "SELECT sample_id, p, l AS call FROM again")
+ORACLES["reanalysed_mutations"] = s.sql_called(_LABELS + _AGAIN + "SELECT sample_id, a.p, l AS call, anc FROM again a JOIN out2 o ON o.p = a.p WHERE NOT in_outgroup AND l > 0 AND l <> anc")
+ORACLES["reanalysed_extras"] = s.sql_called(_LABELS + _AGAIN + f""", e1 AS (SELECT *, CASE WHEN fwd_cov < {s.STRAND} OR rev_cov < {s.STRAND} OR (cov > 0 AND (ins + del)::DOUBLE / cov > {s.INDEL}) THEN 0 ELSE l END AS e FROM again),
+e2 AS (SELECT p, avg(CASE WHEN e = 0 THEN 1.0::DOUBLE ELSE 0 END) > {s.FRAC} OR median(cov) < {s.MEDIAN} AS gone FROM e1 GROUP BY p)
+SELECT sample_id, e1.p, CAST(CASE WHEN gone THEN 0 ELSE e END AS INTEGER) AS call FROM e1 JOIN e2 ON e2.p = e1.p""")
+
+
+@query(f"SELECT sample_id FROM ({_SNVS}) WHERE n >= 13")
+def samples_excluded(x: Inputs) -> DataFrame:
+    return variants.samples_to_exclude(variants.snvs_per_sample(x.cells), 13).select("sample_id")
+
+
+@query("SELECT sample_id, p, CAST(CASE WHEN sample_id IN (2, 5) THEN 0 ELSE call_maf END AS INTEGER) AS call FROM masked")
+def mask_samples(x: Inputs) -> DataFrame:
+    lost = x.samples.where("sample_id in (2, 5)")
+    return masks.mask_samples(x.called, "call", lost).select("sample_id", "p", F.col("sample_call").alias("call"))
+
+
+@query("SELECT p, CASE WHEN n > 0 THEN a::DOUBLE / n ELSE 0 END AS frac_ambiguous FROM (SELECT c.p, count(*) FILTER (major_nt = modal) AS n, count(*) FILTER (major_nt = modal AND major_freq > 0 AND major_freq < 1) AS a FROM cells c JOIN ranks ON ranks.p = c.p GROUP BY c.p)")
+def ambiguity_fraction_strict(x: Inputs) -> DataFrame:
+    """The scoring path's variant: any frequency under 1 is ambiguous."""
+    return variants.ambiguity(x.cells, 1.0).select("p", "frac_ambiguous")
+
+
+@query("SELECT DISTINCT CAST(group_id AS INTEGER) AS group_id FROM cmt")
+def distinct_groups(x: Inputs) -> DataFrame:
+    return x.cmt.select("group_id").distinct()
+
+
+@query("""SELECT sample_name, CASE WHEN length(led) < 10 THEN lpad(led, 10, '0') ELSE led END AS renamed FROM (SELECT sample_name, CASE WHEN regexp_matches(n, '^[A-Za-z]') THEN n ELSE 'S' || n END AS led FROM (
+  SELECT sample_name, substr(sample_name, CAST(1 + sample_id % 9 AS INTEGER)) AS n FROM samples))""")
+def sample_renamed(x: Inputs) -> DataFrame:
+    cut = F.substring("sample_name", (F.col("sample_id") % 9 + 1).cast("int"), F.lit(99))
+    return x.samples.select("sample_name", report.renamed(cut).alias("renamed"))
+
+
+@query("SELECT '>' || name || chr(10) || sequence AS value FROM (SELECT sample_name AS name, string_agg('NATCG'[call_maf + 1], '' ORDER BY p) AS sequence FROM masked JOIN samples USING (sample_id) GROUP BY sample_name UNION ALL SELECT 'inferred_ancestor', string_agg('NATCG'[anc + 1], '' ORDER BY p) FROM anc)")
+def fasta_text(x: Inputs) -> DataFrame:
+    return tree.fasta(tree.alignment(x.called, "call", x.samples, x.anc)).select("value")
+
+
+@query("SELECT p, CAST(length(aa_gt) - 1 AS INTEGER) AS n, CASE WHEN length(aa_gt) > 1 THEN array_to_string(list_transform(range(2, length(aa_gt) + 1), lambda i: aa_gt[1] || aa_pos || aa_gt[i]), ',') ELSE '.' END AS muts FROM annotated WHERE gene_idx IS NOT NULL")
+def mutation_strings(x: Inputs) -> DataFrame:
+    return x.annotated.where("gene_idx is not null").select("p", (F.length("aa_gt") - 1).alias("n"), "muts")
 
 
 SNV = "SELECT p, count(*) FILTER (call_maf = 1) AS n_a, count(*) FILTER (call_maf = 2) AS n_t, count(*) FILTER (call_maf = 3) AS n_c, count(*) FILTER (call_maf = 4) AS n_g FROM masked GROUP BY p HAVING count(DISTINCT CASE WHEN call_maf > 0 THEN call_maf END) >= 2"

