@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +29,28 @@ def shared_dir(spark: SparkSession) -> str:
     return context._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
+#: Paths written in the scratch scope that is open, if one is.
+_SCRATCH: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the shared file system."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is written within goes at the end: results must be written by then."""
+    token = _SCRATCH.set(held := [])
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        for path in held:
+            removed(spark, path)
+
+
 #: Rows a file of a table whose size is known holds, at least.
 FILE_ROWS = 500_000
 
@@ -34,13 +58,16 @@ FILE_ROWS = 500_000
 def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back.
 
-    This cuts the lineage at a table that outlives any executor.  If a bound of
+    This cuts the lineage at a table that outlives any executor; it stays until
+    the caller clears the folder, or its scratch scope ends.  If a bound of
     its rows is known, it is written in so many files as they ask for.
     """
     spark = df.sparkSession
     if rows is not None:
         df = df.coalesce(max(2, -(-rows // FILE_ROWS)))
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if (held := _SCRATCH.get()) is not None:
+        held.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -72,14 +99,20 @@ def running(values: Column, of: Callable[[Column, Column], Column]) -> Column:
     return F.aggregate(steps, values, wider)
 
 
+#: Rows of a side of known bound that is broadcast, at most.
+BROADCAST_ROWS = 200_000
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of undirected edges (a, b) -> (node, root).
 
     Alternating large-star and small-star contraction: every round joins each
     node's edges to its smallest neighbour, so the number of rounds grows with
     the logarithm of the longest chain.  root is the smallest node of the
-    component.  Each round is written to the shared folder.  Empty input gives
-    an empty result; null ends and loops are ignored.
+    component.  Each round is written to the shared folder.  A node's smallest
+    neighbour is broadcast while so few edges are left as BROADCAST_ROWS bounds;
+    beyond, a node with very many edges is a skewed join that Spark splits.
+    Empty input gives an empty result; null ends and loops are ignored.
     """
     now = written(
         edges.where("a is not null and b is not null and a <> b")
@@ -89,13 +122,14 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     )
     mark, rows = None, now.count()
     for _ in range(max_rounds):
+        side = F.broadcast if 2 * rows <= BROADCAST_ROWS else (lambda df: df)
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = both.join(side(least), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.where("a <> b").distinct()
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (
-            large.join(down, "a")
+            large.join(side(down), "a")
             .select(F.explode(F.array(F.struct("a", "m"), F.struct(F.col("b").alias("a"), "m"))).alias("e"))
             .select(F.col("e.a").alias("a"), F.col("e.m").alias("b"))
             .where("a <> b")

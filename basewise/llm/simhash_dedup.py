@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basewise.llm.common import components, written
+from basewise.llm.common import BROADCAST_ROWS, components, small, written
 
 WIDTHS = (13, 13, 13, 13, 12)
 STARTS = (0, 13, 26, 39, 52)
@@ -177,21 +177,15 @@ def near_duplicates(docs: DataFrame, words: int = 4) -> DataFrame:
     fps = written(fingerprints(docs, words), "fingerprints")
     classes = fps.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     root = components(links(classes.select("fp")))
-    joined = classes.join(root, classes.fp == root.node, "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    named = joined.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    joined = joined.join(named, "root").select("fp", "component_id")
-    return fps.join(joined, "fp").select("doc_id", "fp", "component_id")
+    # A linked fingerprint's root; the root itself is nobody's node.
+    ends = small(root.select("node", "root").union(root.select("root", "root").distinct()), "roots", BROADCAST_ROWS)
+    linked = classes.join(ends, classes.fp == ends.node, "left").select("fp", "first_id", "root")
+    named = linked.where("root is not null").groupBy("root").agg(F.min("first_id").alias("least"))
+    named = small(named, "named", BROADCAST_ROWS).withColumnRenamed("root", "of")
+    told = linked.join(named, F.col("root") == F.col("of"), "left").select("fp", F.when(F.col("root").isNull(), F.col("first_id")).otherwise(F.col("least")).alias("component_id"))
+    return fps.join(told, "fp").select("doc_id", "fp", "component_id")
 
 
 def op7_simhash(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, fingerprint, component_id."""
     return near_duplicates(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def one_of_each_group(docs: DataFrame) -> DataFrame:
-    """Documents without those whose group has a smaller doc_id.
-
-    All columns stay.  Rows with a null doc_id stay.
-    """
-    lost = near_duplicates(docs).where("component_id < doc_id").select(F.col("doc_id").alias("__lost")).distinct()
-    return docs.join(lost, docs["doc_id"] == lost["__lost"], "left_anti")

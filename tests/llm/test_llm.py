@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from basewise.llm import decontamination, html_extraction, kdtree_search, language_id, line_dedup, packing, quality, simhash_dedup, token_counts, toxicity
+from basewise.llm import decontamination, html_extraction, kdtree_search, language_id, line_dedup, packing, quality, simhash_dedup, simhash_similar, token_counts, toxicity
 from basewise.llm.common import components
 from basewise.llm.html_blocks import blocks
 
@@ -74,8 +74,98 @@ def test_simhash_components(spark):
     prints = [(i, plain_fingerprint(t)) for i, t in enumerate(texts)]
     want = plain_components(prints)
     assert got == {i: (f"{f:016x}", want[i]) for i, f in prints}
-    kept = {r.doc_id for r in simhash_dedup.one_of_each_group(docs).collect()}
-    assert kept == set(want.values())
+
+
+def shingle_sets(texts, size=5):
+    held = [(t or "").lower().split() for t in texts]
+    return [{tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set() for w in held]
+
+
+def plain_groups(texts, similarity=0.8):
+    """Groups of texts, by all pairs, as sets of places."""
+    sets, root = shingle_sets(texts), list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a == b == set() or (min(len(a), len(b)) >= similarity * max(len(a), len(b)) and len(a & b) >= similarity * len(a | b) and a | b):
+                root[find(i)] = find(j)
+    out = {}
+    for i in range(len(texts)):
+        out.setdefault(find(i), set()).add(i)
+    return {frozenset(x) for x in out.values()}
+
+
+def near_copies(rng, bases, copies):
+    words, texts = [f"w{i}" for i in range(3000)], []
+    for _ in range(bases):
+        base = [rng.choice(words) for _ in range(rng.randint(20, 300))]
+        texts.append(" ".join(base))
+        for _ in range(copies):
+            w = list(base)
+            for _ in range(int(len(w) * rng.uniform(0, 0.03))):
+                w[rng.randrange(len(w))] = rng.choice(words)
+            texts.append(" ".join(w[: int(len(w) * rng.uniform(0.85, 1))] if rng.random() < 0.3 else w))
+    return texts
+
+
+def test_similar_texts(spark):
+    """Groups by five-word similarity against all pairs; a few borderline pairs
+    may be missed (RECALL), none is invented."""
+    texts = near_copies(random.Random(1), 120, 3) + ["", None, "  ", "Two words", "two  WORDS", "two word"]
+    docs = documents(spark, list(enumerate(texts))).repartition(4)
+    have = {}
+    for r in simhash_similar.similar(docs).collect():
+        have.setdefault(r.component, set()).add(r.doc_id)
+    got, want = {frozenset(x) for x in have.values()}, plain_groups(texts)
+    assert all(any(g <= w for w in want) for g in got)
+    assert len(got & want) >= 0.95 * len(want) and frozenset({480, 481, 482}) in got and frozenset({483, 484}) in got
+    kept = simhash_similar.one_of_each_group(docs)
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {min(x) for x in got}
+
+
+def test_similar_candidates_at_every_size(spark):
+    """The layouts for few and for very many texts find pairs alike."""
+    texts = near_copies(random.Random(2), 100, 3)
+    prints = simhash_similar.written(simhash_similar._prints(documents(spark, list(enumerate(texts))), 5), "prints")
+    node = {r.doc_id: r.node for r in prints.collect()}
+    sets, unique = shingle_sets(texts), prints.select("node", "fp").distinct()
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i // 4 * 4, i) if node[i] != node[j] and 0.8 <= len(sets[i] & sets[j]) / len(sets[i] | sets[j])]
+    for size in (1000, 10**6, 10**9):
+        found = {(r.a, r.b) for r in simhash_similar._candidates(unique, *simhash_similar.layout(size)).collect()}
+        hit = sum((min(node[i], node[j]), max(node[i], node[j])) in found for i, j in pairs)
+        assert hit >= 0.95 * len(pairs) and len(found) < 3 * len(pairs)
+
+
+def test_one_row_of_each_group_stays(spark):
+    """Repeated rows, shared and null doc_ids, other columns of any name."""
+    a, b = " ".join(WORDS), " ".join(reversed(WORDS))
+    schema = "doc_id long, text string, row string, k long, node map<string, int>"
+    rows = [(1, a, "p", 1, {"x": 1}), (1, a, "p", 1, {"x": 1}), (1, b, "q", 2, {}), (2, b.upper(), "r", 3, {}), (None, a, "s", 4, {}), (None, "only here", "t", 5, {}), (None, "only here", "t", 5, {}), (3, None, "u", 6, None), (4, "", "v", 7, None)]
+    docs = spark.createDataFrame(rows, schema)
+    got = simhash_similar.one_of_each_group(docs)
+    assert got.columns == docs.columns
+    assert sorted((r.row, r.doc_id, r.k) for r in got.collect()) == [("p", 1, 1), ("q", 1, 2), ("t", None, 5), ("u", 3, 6)]
+    assert simhash_similar.one_of_each_group(docs.where("false")).count() == 0
+
+
+def test_leaders_of_long_keys():
+    """A key that comes in blocks is paired like one that comes at once."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**63, 6, dtype=np.uint64)
+    chains = np.array([base[i % 6] ^ np.uint64(1 << int(rng.integers(0, 63))) for i in range(3000)])
+    nodes, keys = np.arange(3000), np.zeros(3000, np.int64)
+    for blocks_ in (1, 7):
+        led = simhash_similar.Leaders(16, out := [])
+        for part in np.array_split(np.arange(3000), blocks_):
+            led.take(keys[part], nodes[part], chains[part])
+        pairs = [(int(x), int(y)) for a, b in out for x, y in zip(a, b, strict=True)]
+        assert len(pairs) == 2994 and all(x % 6 == y % 6 for x, y in pairs)
 
 
 def test_chains_lose_no_link(spark):
