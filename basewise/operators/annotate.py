@@ -29,20 +29,28 @@ def gene_hits(positions: DataFrame, contigs: DataFrame, features: DataFrame, buc
     return at.drop("__b").join(best, "p", "left")
 
 
-def gene_neighbours(positions: DataFrame, contigs: DataFrame, features: DataFrame) -> DataFrame:
-    """positions with the genes before and after: an as-of join by one window.
+def gene_neighbours(positions: DataFrame, contigs: DataFrame, features: DataFrame, bucket: int = 10_000) -> DataFrame:
+    """positions with the genes before and after: an as-of join.
 
     distance1 is the way from the end of the gene before, negative if that gene
     is on the reverse strand; distance2 the way to the start of the gene after,
-    negative if that is on the forward strand.
+    negative if that is on the forward strand.  Genes, one genome's, are put in
+    order once; each span between two starts is dealt to the buckets it meets,
+    and positions find theirs by an equi-join.  Of genes that start together the
+    longest is the one before, the shortest the one after.
     """
-    held = ["locustag", "gene", "strand", "loc1", "loc2"]
-    at = with_contig(positions, contigs).select("p", "contig_idx", F.col("contig_pos").alias("x"), F.lit(None).cast("struct<locustag:string,gene:string,strand:int,loc1:bigint,loc2:bigint>").alias("g")).distinct()
-    genes = features.select(F.lit(None).cast("long").alias("p"), "contig_idx", F.col("loc1").alias("x"), F.struct(*held).alias("g"))
-    both = at.unionByName(genes)
-    past = Window.partitionBy("contig_idx").orderBy("x").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    future = Window.partitionBy("contig_idx").orderBy("x").rangeBetween(1, Window.unboundedFollowing)
-    found = both.withColumns({"before": F.last("g", ignorenulls=True).over(past), "after": F.first("g", ignorenulls=True).over(future)}).where("p is not null")
+    gene, order = F.struct("locustag", "gene", "strand", "loc1", "loc2"), F.struct("loc2", "locustag")
+    starts = features.groupBy("contig_idx", "loc1").agg(F.max_by(gene, order).alias("last"), F.min_by(gene, order).alias("first"))
+    w = Window.partitionBy("contig_idx").orderBy("loc1")
+    spans = starts.select("contig_idx", F.col("loc1").alias("from"), F.lead("loc1").over(w).alias("to"), F.col("last").alias("before"), F.lead("first").over(w).alias("after"))
+    ahead = starts.groupBy("contig_idx").agg(F.min("loc1").alias("to"), F.min_by("first", "loc1").alias("after"))
+    none = F.lit(None).cast("struct<locustag:string,gene:string,strand:int,loc1:bigint,loc2:bigint>")
+    spans = spans.unionByName(ahead.select("contig_idx", F.lit(0).cast("long").alias("from"), "to", none.alias("before"), "after"))
+    spans = spans.join(F.broadcast(contigs.select("contig_idx", "contig_len")), "contig_idx").withColumn("to", F.coalesce("to", F.greatest(F.col("contig_len"), F.col("from")) + 1))
+    spans = spans.withColumn("bucket", F.explode(F.sequence(F.floor(F.col("from") / bucket), F.floor((F.col("to") - 1) / bucket)))).withColumnRenamed("contig_idx", "on")
+    at = with_contig(positions, contigs).select("p", "contig_idx", F.col("contig_pos").alias("x"), F.floor(F.col("contig_pos") / bucket).alias("at")).distinct()
+    met = (F.col("contig_idx") == F.col("on")) & (F.col("at") == F.col("bucket")) & (F.col("x") >= F.col("from")) & (F.col("x") < F.col("to"))
+    found = at.join(spans, met, "left")
     d1, d2 = F.col("x") - F.col("before.loc2"), F.col("after.loc1") - F.col("x")
     return found.select(
         "p",

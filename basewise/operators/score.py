@@ -1,4 +1,4 @@
-"""The convolutional scorer of positions: its forward pass.
+"""The convolutional scorer of positions: its forward pass and its training.
 
 Weights come from an npz file; without one, positions are skipped (null).
 """
@@ -48,6 +48,64 @@ def forward(x: np.ndarray, weights: dict[str, np.ndarray]) -> float:
     return 1 / (1 + np.exp(-z))
 
 
+def gradients(x: np.ndarray, label: float, weights: dict[str, np.ndarray]) -> tuple[float, dict[str, np.ndarray]]:
+    """The cross-entropy of one position and its gradient by every weight."""
+    held, views = [], []
+    for name, pad in PADS.items():
+        x = np.pad(x, ((0, 0), (pad[0], pad[0]), (pad[1], pad[1])))
+        weight = weights[f"{name}.weight"]
+        view = np.lib.stride_tricks.sliding_window_view(x, weight.shape[2:], axis=(1, 2))
+        z = np.einsum("ishkl,oikl->osh", view, weight, optimize=True) + weights[f"{name}.bias"][:, None, None]
+        held.append((x.shape, z))
+        views.append(view)
+        x = np.maximum(z, 0)
+    pooled = x.mean(axis=(1, 2))
+    first = weights["fc1.weight"] @ pooled + weights["fc1.bias"]
+    hidden = np.maximum(first, 0)
+    z = float((weights["fc2.weight"] @ hidden + weights["fc2.bias"])[0])
+    loss = float(np.logaddexp(0, z) - label * z)
+    dz = 1 / (1 + np.exp(-z)) - label
+    out = {"fc2.weight": dz * hidden[None, :], "fc2.bias": np.array([dz])}
+    back = dz * weights["fc2.weight"][0] * (first > 0)
+    out |= {"fc1.weight": np.outer(back, pooled), "fc1.bias": back}
+    back = np.broadcast_to((weights["fc1.weight"].T @ back)[:, None, None] / (x.shape[1] * x.shape[2]), x.shape)
+    for (name, pad), (shape, z), view in zip(reversed(PADS.items()), reversed(held), reversed(views), strict=True):
+        back = back * (z > 0)
+        weight = weights[f"{name}.weight"]
+        out |= {f"{name}.weight": np.einsum("osh,ishkl->oikl", back, view, optimize=True), f"{name}.bias": back.sum(axis=(1, 2))}
+        full = np.zeros(shape)
+        for k in range(weight.shape[2]):
+            for m in range(weight.shape[3]):
+                full[:, k : k + back.shape[1], m : m + back.shape[2]] += np.einsum("osh,oi->ish", back, weight[:, :, k, m])
+        back = full[:, pad[0] : shape[1] - pad[0], pad[1] : shape[2] - pad[1]]
+    return loss, out
+
+
+def train(sites: list[np.ndarray], labels: list[int], check: tuple[list[np.ndarray], list[int]], epochs: int = 150, patience: int = 20, rate: float = 1e-3, batch: int = 32, seed: int = 1234) -> dict[str, np.ndarray]:
+    """Weights by Adam on the cross-entropy; those with the least loss of the
+    checked sites, which stop the training after patience epochs without a gain."""
+    rng, weights, step = np.random.default_rng(seed), random_weights(seed), 0
+    m, v = ({k: np.zeros_like(w) for k, w in weights.items()} for _ in range(2))
+    best, best_loss, since = weights, np.inf, 0
+    for _ in range(epochs):
+        order = rng.permutation(len(sites))
+        for s in range(0, len(order), batch):
+            step += 1
+            parts = [gradients(sites[i], labels[i], weights)[1] for i in order[s : s + batch]]
+            for k in weights:
+                g = sum(p[k] for p in parts) / len(parts)
+                m[k] += 0.1 * (g - m[k])
+                v[k] += 0.001 * (g * g - v[k])
+                weights[k] = weights[k] - rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)
+        p = np.clip([forward(x, weights) for x in check[0]], 1e-12, 1 - 1e-12)
+        y = np.array(check[1])
+        loss = float(-(y * np.log(p) + (1 - y) * np.log(1 - p)).mean())
+        best, best_loss, since = (dict(weights), loss, 0) if loss < best_loss else (best, best_loss, since + 1)
+        if since >= patience:
+            break
+    return best
+
+
 def score(tensor: DataFrame, weights: dict[str, np.ndarray] | None) -> DataFrame:
     """group_id, p, prob, cnn: a position's samples gathered and scored.
 

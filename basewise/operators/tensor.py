@@ -223,6 +223,14 @@ def lowest(cells: DataFrame, value: str, x: int) -> DataFrame:
     return cells.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= x).drop("__n")
 
 
+def frequent(cells: DataFrame, call: str) -> DataFrame:
+    """Each position's most and least frequent call that isn't N, ties to the
+    lower code; null without calls."""
+    votes = cells.where(F.col(call) > 0).groupBy(*SITE, F.col(call).alias("code")).agg(F.count(F.lit(1)).alias("n"))
+    told = votes.groupBy(*SITE).agg(F.max_by("code", F.struct("n", -F.col("code"))).alias("most"), F.min_by("code", F.struct("n", "code")).alias("least"))
+    return cells.select(*SITE).distinct().join(told, SITE, "left")
+
+
 def nonzero_summary(cells: DataFrame, value: str, by: list[str]) -> DataFrame:
     """Median, mean, spread and quartile range of the values that aren't 0."""
     x = F.when(F.col(value) != 0, F.col(value))

@@ -2,24 +2,33 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basewise.functions.bases import int_to_nt
+from basewise.operators.coverage import with_contig
 from basewise.operators.masks import SITE
+from basewise.operators.report import calls_pivot
 
 
 def pairwise_distance(cells: DataFrame, call: str) -> DataFrame:
     """sample_a < sample_b, compared, different: positions that both call.
 
-    Positions meet by an equi-join on allele counts' own key (group, position);
-    a position's samples are the isolates of one group.
+    A sample's calls of 64 positions are packed into a word a letter, and pairs
+    of samples meet a word at a time: a join row stands for 64 positions.
     """
-    held = cells.where(F.col(call) > 0).select(*SITE, "sample_id", F.col(call).alias("code"))
-    b = held.select(*SITE, F.col("sample_id").alias("sample_b"), F.col("code").alias("code_b"))
-    pairs = held.withColumnRenamed("sample_id", "sample_a").join(b, SITE).where("sample_a < sample_b")
-    return pairs.groupBy("group_id", "sample_a", "sample_b").agg(F.count(F.lit(1)).alias("compared"), F.count_if(F.col("code") != F.col("code_b")).alias("different"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("p", F.lit(64)).cast("int"))
+    packed = [F.bit_or(F.when(F.col(call) == i, bit).otherwise(F.lit(0).cast("long"))) for i in (1, 2, 3, 4)]
+    held = cells.where(F.col(call) > 0).groupBy("group_id", F.floor(F.col("p") / 64).alias("block"), "sample_id").agg(*(x.alias(f"w{i}") for i, x in enumerate(packed, 1)))
+    a = held.withColumnRenamed("sample_id", "sample_a")
+    b = held.select("group_id", "block", F.col("sample_id").alias("sample_b"), *(F.col(f"w{i}").alias(f"v{i}") for i in (1, 2, 3, 4)))
+    every = lambda c: F.col(f"{c}1").bitwiseOR(F.col(f"{c}2")).bitwiseOR(F.col(f"{c}3")).bitwiseOR(F.col(f"{c}4"))
+    same = sum((F.bit_count(F.col(f"w{i}").bitwiseAND(F.col(f"v{i}"))) for i in (2, 3, 4)), F.bit_count(F.col("w1").bitwiseAND(F.col("v1"))))
+    pairs = a.join(b, ["group_id", "block"]).where("sample_a < sample_b").select("group_id", "sample_a", "sample_b", F.bit_count(every("w").bitwiseAND(every("v"))).cast("long").alias("n"), same.cast("long").alias("same"))
+    return pairs.groupBy("group_id", "sample_a", "sample_b").agg(F.sum("n").alias("compared"), F.sum(F.col("n") - F.col("same")).alias("different")).where("compared > 0")
 
 
 def alignment(cells: DataFrame, call: str, samples: DataFrame, anc: DataFrame) -> DataFrame:
@@ -115,3 +124,26 @@ def tip_changes(cells: DataFrame, call: str) -> DataFrame:
     samples hold another."""
     votes = cells.where(F.col(call) > 0).groupBy(*SITE, int_to_nt(F.col(call)).alias("nt")).agg(F.count(F.lit(1)).alias("n"))
     return votes.groupBy(*SITE).agg(F.max(F.struct("n", "nt"))["nt"].alias("anc_nt"), (F.sum("n") - F.max("n")).alias("n_changes"))
+
+
+#: The colours of letters in a tree viewer's notation.
+COLOURS = {"A": "-16776961", "C": "-16725916", "G": "-3670016", "T": "-3618816"}
+OTHER_COLOUR = "-16777216"
+
+
+def nexus(newick_text: str, letters: dict[str, str]) -> str:
+    """One position on a tree: tips are named with their letter and coloured.
+
+    Tips without a letter hold a question mark.
+    """
+    tips = re.findall(r"(?<=[(,])[^(),:;]+", newick_text)
+    named = {tip: f"{tip}--*{letters.get(tip, '?')}" for tip in tips}
+    lines = [f"\t'{named[tip]}'[&!color=#{COLOURS.get(letters.get(tip, '?'), OTHER_COLOUR)}]" for tip in tips]
+    tree = re.sub(r"(?<=[(,])[^(),:;]+", lambda m: f"'{named[m[0]]}'", newick_text)
+    return "\n".join(["#NEXUS", "begin taxa;", f"\tdimensions ntax={len(tips)};", "\ttaxlabels", *lines, ";", "end;", "", "begin trees;", f"\ttree tree_1 = [&R] {tree}", "end;", ""])
+
+
+def snp_chart(cells: DataFrame, call: str, contigs: DataFrame, names: list[str]) -> DataFrame:
+    """chr, pos and a letter a sample: what single-position trees are made from."""
+    letters = with_contig(calls_pivot(cells, call, names), contigs)
+    return letters.select("group_id", F.col("contig_idx").alias("chr"), F.col("contig_pos").alias("pos"), *names)

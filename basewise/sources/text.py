@@ -149,3 +149,23 @@ def positions(spark: SparkSession, path: str) -> DataFrame:
 
 def only_digits(text: Column) -> Column:
     return text.rlike("^[0-9]+$")
+
+
+def names(spark: SparkSession, path: str) -> DataFrame:
+    """A name a line, trimmed; blank lines are skipped."""
+    return spark.read.text(path).where("trim(value) <> ''").select(F.trim("value").alias("name"))
+
+
+def subject_tags(lines: DataFrame) -> DataFrame:
+    """(subject, line, value) of annotation FASTAs -> subject, tag: the part of
+    the first record's name before an underscore.  A file that doesn't begin
+    with a record is an error."""
+    first = lines.groupBy("subject").agg(F.min_by("value", "line").alias("value"))
+    tag = F.regexp_extract("value", r"^>([^\s_]+)", 1)
+    wrong = F.raise_error(F.concat(F.lit("not a FASTA record: "), F.col("value")))
+    return first.select("subject", F.when(F.col("value").startswith(">"), tag).otherwise(wrong).alias("tag"))
+
+
+def extended_name(subject: Column, visit: Column, location: Column, name: Column) -> Column:
+    """A sample's name led by its subject, visit and location."""
+    return F.concat(F.lit("S"), subject, F.lit("_V"), visit.cast("string"), F.lit("_"), location, F.lit("_"), name)

@@ -198,6 +198,65 @@ def test_scorer_by_hand():
     assert 0 < score.forward(x, w) < 1
 
 
+def test_scorer_gradients():
+    w, x = score.random_weights(3), np.random.default_rng(2).random((4, 5, 8))
+    for label in (0, 1):
+        loss, got = score.gradients(x, label, w)
+        p = score.forward(x, w)
+        assert abs(loss + np.log(p if label else 1 - p)) < 1e-9
+        for name, g in got.items():
+            at = np.unravel_index(int(np.abs(g).argmax()), g.shape)
+            up, down = ({**w, name: w[name].copy()} for _ in range(2))
+            up[name][at] += 1e-5
+            down[name][at] -= 1e-5
+            slope = (score.gradients(x, label, up)[0] - score.gradients(x, label, down)[0]) / 2e-5
+            assert abs(slope - g[at]) < 1e-6 + 1e-4 * abs(g[at])
+
+
+def test_scorer_learns():
+    rng = np.random.default_rng(5)
+    labels = [i % 2 for i in range(48)]
+    sites = [rng.random((4, 5, 8)) + 2.0 * y * (np.arange(4) == 1)[:, None, None] for y in labels]
+    w = score.train(sites[:32], labels[:32], (sites[32:], labels[32:]), epochs=25, patience=5)
+    assert sum((score.forward(x, w) > 0.5) == y for x, y in zip(sites[32:], labels[32:], strict=True)) >= 14
+
+
+def test_pairwise_distance_of_words(spark):
+    """Packed words against positions one by one, over several words."""
+    rng = np.random.default_rng(6)
+    held = {(s, p): int(rng.integers(0, 5)) for s in range(5) for p in [*range(1, 200, 3), 64, 128, 5000]}
+    df = spark.createDataFrame([(1, s, p, c) for (s, p), c in held.items()], "group_id int, sample_id int, p long, call int")
+    got = {(r.sample_a, r.sample_b): (r.compared, r.different) for r in tree.pairwise_distance(df, "call").collect()}
+    for a in range(5):
+        for b in range(a + 1, 5):
+            both = [(held[a, p], held[b, p]) for s, p in held if s == 0 and held[a, p] and held[b, p]]
+            assert got[a, b] == (len(both), sum(x != y for x, y in both))
+
+
+def test_genes_around_in_buckets(spark, genome):
+    rows = [(1, 1, "x", "g", 1, 3, 4), (1, 2, "y", "h", -1, 6, 7), (1, 3, "long", "h", -1, 6, 9), (1, 4, "z", "k", 1, 11, 12)]
+    features = spark.createDataFrame(rows, "contig_idx int, gene_idx int, locustag string, gene string, strand int, loc1 long, loc2 long")
+    every = spark.range(1, 21).withColumnRenamed("id", "p")
+    for bucket in (2, 100):
+        got = {r.p: (r.locustag1, r.locustag2, r.distance1, r.distance2) for r in annotate.gene_neighbours(every, genome, features, bucket).collect()}
+        assert got[1] == (None, "x", None, -2) and got[5] == ("x", "y", 1, 1)
+        assert got[10] == ("long", "z", -1, -1) and got[12] == ("z", None, 0, None) and got[13] == (None,) * 4 and len(got) == 20
+
+
+def test_single_position_trees(spark, genome):
+    told = tree.nexus("((s1:1,s2:2)n1:1,s3:1);", {"s1": "A", "s2": "T"})
+    assert "'s1--*A'[&!color=#-16776961]" in told and "'s3--*?'[&!color=#-16777216]" in told and "ntax=3" in told and "(('s1--*A':1,'s2--*T':2)" in told
+    df = spark.createDataFrame([(1, 13, "s1", 2), (1, 13, "s2", 0)], "group_id int, p long, sample_name string, call int")
+    assert [tuple(r) for r in tree.snp_chart(df, "call", genome, ["s1", "s2"]).collect()] == [(1, 2, 1, "T", "N")]
+
+
+def test_frequent_calls(spark):
+    from basewise.operators import tensor
+
+    df = spark.createDataFrame([(1, p, c) for p, told in ((1, [1, 1, 2, 3, 0]), (2, [2, 1]), (3, [0])) for c in told], "group_id int, p long, call int")
+    assert {r.p: (r.most, r.least) for r in tensor.frequent(df, "call").collect()} == {1: (1, 2), 2: (1, 1), 3: (None, None)}
+
+
 def test_evaluation(spark):
     df = spark.createDataFrame([(1, 0.9), (0, 0.8), (1, 0.7), (0, 0.1), (1, 0.1)], "label int, prob double")
     got = score.evaluation(df).first()

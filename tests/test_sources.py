@@ -78,3 +78,35 @@ def test_stream_takes_each_file_once(spark, tmp_path):
         ingest.ingest(spark, str(folder), str(tmp_path / "out"), str(tmp_path / "mark")).awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out"))
     assert sorted((r.sample_id, r.pos, tuple(r.symbols)) for r in got.collect()) == [(0, 1, (1, 5)), (1, 2, (2,))]
+
+
+def test_names_and_tags(spark, tmp_path):
+    (tmp_path / "n.txt").write_text(" a \n\nb\n")
+    assert [r.name for r in text.names(spark, str(tmp_path / "n.txt")).collect()] == ["a", "b"]
+    lines = spark.createDataFrame([("s1", 0, ">ABC_0001 x"), ("s1", 1, "MK"), ("s2", 0, ">XY_7"), ("s2", 1, ">XZ_8")], "subject string, line long, value string")
+    assert {r.subject: r.tag for r in text.subject_tags(lines).collect()} == {"s1": "ABC", "s2": "XY"}
+    with pytest.raises(Exception, match="not a FASTA record"):
+        text.subject_tags(lines.where("subject = 's1' and line = 1")).collect()
+    got = spark.range(1).select(text.extended_name(F.lit("3"), F.lit(2), F.lit("nose"), F.lit("x")).alias("n")).first()
+    assert got.n == "S3_V2_nose_x"
+    (tmp_path / "l.csv").write_text("Batch,Sample,Alignments,ProviderName,Patient\nb1, s1 ,a;b,p,7\n")
+    assert [(r.Sample, r.Patient) for r in text.read_samples(spark, str(tmp_path / "l.csv"), text.LEGACY_SHEET).collect()] == [("s1", "7")]
+
+
+def test_written_by_sample(spark, tmp_path):
+    sheet = spark.createDataFrame([("s1", "f1"), ("s2", "f2")], "Sample string, FileName string")
+    for _ in range(2):
+        text.write_by_sample(sheet, str(tmp_path / "out"))
+    got = spark.read.csv(str(tmp_path / "out"), header=True)
+    assert sorted((r.Sample, r.FileName) for r in got.collect()) == [("s1", "f1"), ("s2", "f2")]
+
+
+def test_final_table_is_read_again(spark, tmp_path):
+    from basewise.operators import report
+
+    cmt = spark.createDataFrame([(1, s, p, 5) for s in (0, 1) for p in (1, 2, 3)], "group_id int, sample_id int, p long, c1 long")
+    labels = spark.createDataFrame([(1, 1, 1, 0.9, False, True), (1, 2, 0, 0.2, True, True), (1, 3, 0, 0.1, False, False)], "group_id int, p long, label int, prob_out double, recomb boolean, good_all boolean")
+    sinks.write_table(report.final_table(cmt, labels), str(tmp_path / "final"))
+    held = spark.read.parquet(str(tmp_path / "final"))
+    assert held.count() == 4
+    assert {r.p: (r.prob, r.label, r.recomb) for r in report.table_labels(held).collect()} == {1: (0.9, 1, False), 2: (0.2, 0, True)}
