@@ -4,15 +4,17 @@ A linear classifier over the distinct words of a text and their beginnings,
 hashed, is trained in numpy from confirmed toxic texts and unlabelled texts.
 With class prior p and the sigmoid loss l, the risk is
 p E+[l(z)] + max(0, Eu[l(-z)] - p E+[l(-z)]): the second term estimates the
-risk of the texts that aren't toxic, and where it turns negative the step
-undoes the overfitting instead.  Only features that stand out in the toxic
-sample against the unlabelled one get a weight, so a long clean text gathers no
-score from its length (README has the figures without this screen).
+risk of the texts that aren't toxic, and where it would turn negative, as it
+does from overfitting, it is zero and moves nothing.  Only features that stand
+out in the toxic sample against the unlabelled one, and that the other texts,
+by the prior, hold at most half as often, get a weight: so a long clean text
+gathers no score from its length (README has the figures without this screen).
+Copies of a text count once in the samples.
 
 Labels are learnt only from documents that aren't held out, from bounded
 samples by hash order: POSITIVE toxic texts and UNLABELLED texts of any kind.
-The prior is a parameter; unless given it is the share of toxic labels among
-those learnt from.  The cut is the
+The prior is a parameter; unless given it is the share of toxic texts, copies
+once, among those whose labels are learnt from.  The cut is the
 one with the greatest recall less twice the share of the other texts called
 toxic, estimated without negatives; scores are shifted to have it at 0.7.
 
@@ -34,9 +36,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basewise.llm.common import BROADCAST_ROWS, small, written
 from basewise.llm.language_id import remainder
 
 POSITIVE, UNLABELLED = 4000, 8000
@@ -45,6 +48,8 @@ STEPS, RATE, DECAY = 300, 0.05, 1e-5
 #: A feature is learnt from so many positive texts at least, so many standard
 #: errors above the unlabelled.
 LEAST, STANDS_OUT = 4, 3.87
+#: How often the other texts hold a feature, at most, to once in the toxic.
+OTHERS = 0.5
 CUT, COST = 0.7, 2.0
 WORD = re.compile(r"[^\W\d_]+")
 REMEMBERED = 200_000
@@ -75,13 +80,14 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(at, -40, 40)))
 
 
-def screened(positive: list[np.ndarray], unlabelled: list[np.ndarray]) -> np.ndarray:
-    """Features that stand out in positive texts by a two-sample test."""
-    n, u, width = len(positive), len(unlabelled), 1 << BITS
-    a, c = (np.bincount(np.concatenate(x), minlength=width) for x in (positive, unlabelled))
-    share = (a + c) / (n + u)
-    z = (a / n - c / u) / np.sqrt(np.maximum(share * (1 - share) * (1 / n + 1 / u), 1e-12))
-    return np.flatnonzero((a >= LEAST) & (z > STANDS_OUT))
+def screened(toxic: Column, unlabelled: Column, n: int, u: int, prior: float) -> Column:
+    """Whether a feature that so many of n toxic and u unlabelled texts hold
+    stands out by a two-sample test, and isn't common in the other texts."""
+    a, c = toxic / F.lit(n), unlabelled / F.lit(u)
+    share = (toxic + unlabelled) / F.lit(n + u)
+    z = (a - c) / F.sqrt(F.greatest(share * (1 - share) * F.lit(1 / n + 1 / u), F.lit(1e-12)))
+    others = F.greatest(c - F.lit(prior) * a, F.lit(0.0)) / F.lit(max(1 - prior, 1e-9))
+    return (toxic >= LEAST) & (z > STANDS_OUT) & (others <= OTHERS * a)
 
 
 def risk(z: np.ndarray, n: int, prior: float) -> tuple[float, float]:
@@ -92,22 +98,20 @@ def risk(z: np.ndarray, n: int, prior: float) -> tuple[float, float]:
 
 
 def slopes(z: np.ndarray, n: int, prior: float) -> np.ndarray:
-    """By logit: of both parts, or, where the second is negative, of its undoing."""
+    """Of the non-negative risk, by logit: a negative second part is zero."""
     s = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
     slope, u = s * (1 - s), len(z) - n
     if risk(z, n, prior)[1] >= 0:
         return np.r_[-2 * prior * slope[:n] / n, slope[n:] / u]
-    return np.r_[prior * slope[:n] / n, -slope[n:] / u]
+    return np.r_[-prior * slope[:n] / n, np.zeros(u)]
 
 
-def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = STEPS) -> Model:
-    """Non-negative PU learning by Adam on the sigmoid loss."""
-    kept = screened(positive, unlabelled)
-    place = np.full(1 << BITS, -1)
-    place[kept] = np.arange(len(kept))
-    held = [place[x][place[x] >= 0] for x in positive + unlabelled]
+def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], kept: np.ndarray, prior: float, steps: int = STEPS) -> Model:
+    """Non-negative PU learning by Adam on the sigmoid loss; texts hold features
+    of kept, which ascends."""
+    held = [np.searchsorted(kept, x) for x in positive + unlabelled]
     n, u, k = len(positive), len(unlabelled), len(kept)
-    ids, own = np.concatenate(held), np.repeat(np.arange(n + u), [len(x) for x in held])
+    ids, own = np.concatenate(held).astype(np.int64), np.repeat(np.arange(n + u), [len(x) for x in held])
     w = np.zeros(k + 1)
     w[k] = -1.0  # the bias
     m, v = np.zeros(k + 1), np.zeros(k + 1)
@@ -134,7 +138,9 @@ def train(docs: DataFrame, labels: DataFrame, positive: int = POSITIVE, unlabell
     """(doc_id, text), (doc_id, toxic) -> a model, from bounded samples."""
     open_ = remainder("doc_id", 3) != 1
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic").where(open_ & F.col("toxic").isNotNull())
-    share = known.agg(F.avg(F.col("toxic").cast("double"))).first()[0]
+    hashed = docs.select(F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__text"))
+    texts = hashed.join(known, F.col("__id") == F.col("doc_id")).groupBy("__text").agg(F.max(F.col("toxic").cast("double")).alias("toxic"))
+    share = texts.agg(F.avg("toxic")).first()[0]
     if not share:
         return None
     prior = share if prior is None else prior
@@ -148,11 +154,18 @@ def train(docs: DataFrame, labels: DataFrame, positive: int = POSITIVE, unlabell
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(got, pa.list_(pa.int32()))], ["doc_id", "p", "f"])
 
     rows = docs.join(F.broadcast(chosen.withColumnRenamed("doc_id", "__id")), F.col("doc_id") == F.col("__id")).select("doc_id", "p", "text")
-    held = rows.mapInArrow(make, "doc_id long, p boolean, f array<int>").toArrow().sort_by([("p", "descending"), ("doc_id", "ascending")])
-    mark = held.column("p").to_pylist()
-    told = [np.asarray(x.values, np.int32) for x in held.column("f")]
-    n = sum(mark)
-    return fit(told[:n], told[n:], float(prior)) if 0 < n < len(told) else None
+    # Features stay on the executors: only those that pass the screen are fetched.
+    told = rows.mapInArrow(make, "doc_id long, p boolean, f array<int>").withColumn("h", F.xxhash64("f"))
+    told = written(told.groupBy("p", "h").agg(F.min("doc_id").alias("doc_id"), F.first("f").alias("f")), "features")
+    n, u = told.agg(F.count_if("p"), F.count_if(~F.col("p"))).first()
+    if not n or not u:
+        return None
+    by = told.select("p", F.explode("f").alias("f")).groupBy("f").agg(F.count_if("p").alias("a"), F.count_if(~F.col("p")).alias("c"))
+    kept = np.array(sorted(r.f for r in by.where(screened(F.col("a"), F.col("c"), n, u, float(prior))).select("f").collect()), np.int32)
+    few = F.array(*(F.lit(int(x)) for x in kept)).cast("array<int>")
+    held = told.select("p", "doc_id", "h", F.array_sort(F.array_intersect("f", few)).alias("f")).toArrow().sort_by([("p", "descending"), ("doc_id", "ascending"), ("h", "ascending")])
+    texts = [np.asarray(x.values, np.int32) for x in held.column("f")]
+    return fit(texts[:n], texts[n:], kept, float(prior))
 
 
 def scorer(model: Model | None) -> Callable[[pa.Array], np.ndarray]:
@@ -204,15 +217,20 @@ def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows whose text isn't called toxic; all columns stay.
 
     Each row is judged by its own text, so rows that share a doc_id with a toxic
-    one stay, and no join is needed.
+    one stay.  Only texts' hashes leave the scorer, and nothing is shuffled where
+    the toxic ones are few enough to broadcast.
     """
-    held = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
+    key = [F.xxhash64(text), F.crc32(text.cast("binary"))]
+    held = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text.alias("text"))
     model = docs.sparkSession.sparkContext.broadcast(train(held, labels))
-    at, schema = docs.columns.index("text"), docs.schema
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def toxic(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = scorer(model.value)
         for batch in batches:
-            yield batch.filter(pa.array(score(batch.column(at)) < CUT))
+            told = pa.array(score(batch.column(2)) >= CUT)
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(told) for i in (0, 1)], ["k", "g"])
 
-    return docs.mapInArrow(keep, schema)
+    rows = docs.select(key[0].alias("k"), key[1].alias("g"), text.alias("text"))
+    lost = small(rows.mapInArrow(toxic, "k long, g long").distinct(), "toxic", BROADCAST_ROWS)
+    return docs.join(lost, (key[0] == lost["k"]) & (key[1] == lost["g"]), "left_anti")

@@ -708,7 +708,7 @@ def test_risk_gradient(negative):
     def worth():
         toxic, rest = toxicity.risk(z, 12, 0.4)
         assert (rest < 0) == negative
-        return -rest if negative else toxic + rest
+        return toxic + max(0, rest)
 
     got = toxicity.slopes(z, 12, 0.4)
     for i in range(len(z)):
@@ -730,6 +730,21 @@ def test_risk_by_hand():
     assert np.allclose(toxicity.risk(z, 2, prior), (toxic, rest))
 
 
+def test_copies_in_the_sample_teach_no_more_than_one(spark):
+    """Copies of a few toxic texts must not make their harmless words toxic, and
+    a prior a little over the sample's share must not undo what is learnt."""
+    rng = random.Random(7)
+    words = ["".join(rng.choices("abcdefghij", k=7)) for _ in range(400)]
+    told = lambda bad: " ".join([rng.choice(words) for _ in range(60)] + [rng.choice(["vile", "scum", "rotter"]) for _ in range(3 * bad)])
+    texts = [(i, told(i % 9 == 0)) for i in range(1500)]
+    texts += [(2000 + i, texts[9 * (i % 3)][1]) for i in range(300)]
+    toxic = {i: int("vile" in t or "scum" in t or "rotter" in t) for i, t in texts}
+    labels = spark.createDataFrame([(i, 1, x) for i, x in toxic.items()], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in toxicity.op8_toxicity(documents(spark, texts), labels).collect()}
+    held = [i for i in toxic if got[i].held_out and i < 1500]
+    assert sum(got[i].predicted == toxic[i] for i in held) >= 0.97 * len(held)
+
+
 @pytest.mark.parametrize("n", [1, 2, 3])
 def test_few_toxic_labels_empty_no_corpus(spark, n):
     rng = random.Random(4)
