@@ -132,8 +132,9 @@ def _windows(texts: DataFrame, grams: DataFrame, broadcast_rows: int) -> DataFra
     """(k, g, size, w): windows that can reach the similarity."""
     # Texts of under five words have a null shingle, which joins nothing: a filter
     # (explode brings its own) would split and hash every text twice.
-    held = texts.select("k", "g", words_of(F.col("text")).alias("w"))
-    placed = held.select("k", "g", F.size("w").alias("words"), F.posexplode_outer(_hashes(F.col("w"))).alias("pos", "h"))
+    held = texts.select("k", "g", words_of(F.col("text")).alias("w")).select("k", "g", F.size("w").alias("words"), _hashes(F.col("w")).alias("hashes"))
+    # The words' count is worked out below: no row carries the words themselves.
+    placed = held.select("k", "g", "words", F.posexplode_outer("hashes").alias("pos", "h"))
     # Of repeated texts one is enough.
     placed = placed.withColumnsRenamed({"k": "dk", "g": "dg"})
     if grams.count() <= broadcast_rows:
