@@ -80,6 +80,25 @@ def small(df: DataFrame, name: str, rows: int, chars: int = 1 << 24, width: str
     return F.broadcast(df) if n <= rows and held <= chars else df
 
 
+#: Keys that hold more than this part of all rows are hot: so many at most.
+HOT = 10_000
+
+
+def attached(rows: DataFrame, named: DataFrame, key: str, total: int) -> DataFrame:
+    """rows with named's columns by key, which is unique in named.
+
+    named has n, how many of the total rows have the key.  A key of over a HOT-th
+    of them, of which there can't be more than HOT, is joined by broadcast, so
+    that no task gets all its rows; the others are joined by a shuffle.
+    """
+    told = named.withColumnRenamed(key, "of")
+    hot = F.col("n") * HOT > total
+    few = F.broadcast(told.where(hot).drop("n"))
+    first = rows.join(few, F.col(key) == F.col("of"))
+    rest = rows.join(F.broadcast(told.where(hot).select("of")), F.col(key) == F.col("of"), "left_anti")
+    return first.unionByName(rest.join(told.where(~hot).drop("n"), F.col(key) == F.col("of"))).drop("of")
+
+
 def let(value: Column, of: Callable[[Column], Column]) -> Column:
     """of(value), value worked out once however often of names it.
 

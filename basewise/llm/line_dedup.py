@@ -214,9 +214,10 @@ def _near(held: DataFrame) -> DataFrame:
     groups = variants.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), least(REPLACED).alias("r"), least(WHOLE).alias("f"), least(DELETED).alias("x"))
     groups = _small(groups.where("rows > 1 and (r is not null or (f is not null and x is not null))").select(F.col("key").alias("of"), "r", "f", "x"), "keys")
     earliest = reduce(lambda out, at: F.when(F.col("role") == at[0], F.col(at[1])).otherwise(out), ((WHOLE, "x"), (DELETED, "f")), F.col("r"))
-    pairs = _small(variants.join(groups, variants.key == F.col("of")).select("at", earliest.alias("first")).where("first < at").distinct(), "pairs")
+    pairs = written(variants.join(groups, variants.key == F.col("of")).select("at", earliest.alias("first")).where("first < at").distinct(), "pairs")
+    side = F.broadcast if 2 * pairs.count() <= BROADCAST_ROWS else (lambda df: df)
     # The earliest line of a key shares a half, so it is among the lines as well.
-    asked = _small(pairs.select("at").union(pairs.select("first")).distinct().withColumnRenamed("at", "of"), "asked")
+    asked = side(pairs.select("at").union(pairs.select("first")).distinct().withColumnRenamed("at", "of"))
     texts = _small(lines.join(asked, F.col("at") == F.col("of"), "left_semi").groupBy("at").agg(F.first("flat").alias("flat")), "texts", "length(flat)")
     mine, theirs = texts.select(F.col("at").alias("of"), F.col("flat").alias("u")), texts.select(F.col("at").alias("by"), F.col("flat").alias("v"))
     met = pairs.join(mine, F.col("at") == F.col("of")).join(theirs, F.col("first") == F.col("by"))

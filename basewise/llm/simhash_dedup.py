@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basewise.llm.common import BROADCAST_ROWS, components, small, written
+from basewise.llm.common import BROADCAST_ROWS, attached, components, small, written
 
 WIDTHS = (13, 13, 13, 13, 12)
 STARTS = (0, 13, 26, 39, 52)
@@ -36,6 +36,8 @@ WHOLE = 15
 #: Keys shared by more fingerprints than this give a spanning forest.
 PAIRS_UP_TO = 8
 BLOCK = 1 << 15
+#: Fingerprints whose keys one task makes.
+DEALT = 16_384
 
 
 def fingerprint(text: str | None, words: int = 4) -> int:
@@ -168,22 +170,24 @@ def links(distinct: DataFrame) -> DataFrame:
             keys, fps = keys[cut:], fps[cut:]
         yield from told(keys, fps)
 
-    keyed = distinct.select(F.explode(_keys(F.col("fp"))).alias("k"), "fp")
+    # Fingerprints are few and their keys are many: the work is dealt by count.
+    dealt = distinct.repartition(max(1, -(-distinct.count() // DEALT)))
+    keyed = dealt.select(F.explode(_keys(F.col("fp"))).alias("k"), "fp")
     return keyed.repartition("k").sortWithinPartitions("k").mapInArrow(find, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = 4) -> DataFrame:
     """(doc_id, text) -> (doc_id, fp, component_id) by whole texts."""
     fps = written(fingerprints(docs, words), "fingerprints")
-    classes = fps.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    classes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")), "classes")
     root = components(links(classes.select("fp")))
     # A linked fingerprint's root; the root itself is nobody's node.
     ends = small(root.select("node", "root").union(root.select("root", "root").distinct()), "roots", BROADCAST_ROWS)
-    linked = classes.join(ends, classes.fp == ends.node, "left").select("fp", "first_id", "root")
+    linked = classes.join(ends, classes.fp == ends.node, "left").select("fp", "first_id", "n", "root")
     named = linked.where("root is not null").groupBy("root").agg(F.min("first_id").alias("least"))
-    named = small(named, "named", BROADCAST_ROWS).withColumnRenamed("root", "of")
-    told = linked.join(named, F.col("root") == F.col("of"), "left").select("fp", F.when(F.col("root").isNull(), F.col("first_id")).otherwise(F.col("least")).alias("component_id"))
-    return fps.join(told, "fp").select("doc_id", "fp", "component_id")
+    named = small(named, "named", BROADCAST_ROWS).withColumnRenamed("root", "group")
+    told = linked.join(named, F.col("root") == F.col("group"), "left").select("fp", "n", F.when(F.col("root").isNull(), F.col("first_id")).otherwise(F.col("least")).alias("component_id"))
+    return attached(fps, written(told, "named"), "fp", fps.count()).select("doc_id", "fp", "component_id")
 
 
 def op7_simhash(docs: DataFrame) -> DataFrame:
