@@ -12,9 +12,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basewise.functions.windows import running_sum
 from basewise.operators.masks import SITE
 from basewise.operators.tensor import FEATURES
 
+#: Parts of the range of probabilities that are ranked apart.
+BUCKETS = 1024
+
 #: Kernel shapes (out, in, samples, features), paddings, layers.
 KERNELS = {"conv1": (32, 4, 3, 4), "conv2": (64, 32, 2, 2), "conv3": (128, 64, 2, 2)}
 PADS = {"conv1": (1, 1), "conv2": (1, 0), "conv3": (1, 0)}
@@ -140,12 +144,10 @@ def evaluation(scored: DataFrame) -> DataFrame:
 
     auc by rank sums, ties sharing their mean rank.
     """
-    from pyspark.sql import Window
-
     hit = lambda a, b: F.count_if((F.col("label") == a) & ((F.col("prob") > 0.5).cast("int") == b))
     by = scored.groupBy("prob").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") == 1).alias("pos"))
-    below = F.coalesce(F.sum("n").over(Window.orderBy("prob").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranks = by.withColumn("rank", below + (F.col("n") + 1) / 2).agg(F.sum(F.col("rank") * F.col("pos")).alias("s"), F.sum("pos").alias("p"), F.sum(F.col("n") - F.col("pos")).alias("q"))
+    below = running_sum(by, F.col("n"), "prob", F.floor(F.col("prob") * BUCKETS), "below")
+    ranks = below.withColumn("rank", F.col("below") + (F.col("n") + 1) / 2).agg(F.sum(F.col("rank") * F.col("pos")).alias("s"), F.sum("pos").alias("p"), F.sum(F.col("n") - F.col("pos")).alias("q"))
     counts = scored.agg(hit(1, 1).alias("tp"), hit(0, 1).alias("fp"), hit(1, 0).alias("fn"), hit(0, 0).alias("tn")).join(ranks, how="cross")
     r = lambda a, b: F.try_divide(a.cast("double"), b.cast("double"))
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))

@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from basewise.functions.windows import running_sum
+
 SHEET = "Path string, Sample string, FileName string, Reference string, Group string, Outgroup string, Type string"
 LEGACY_SHEET = "Batch string, Sample string, Alignments string, ProviderName string, Patient string"
 #: The file-name endings of paired and single reads.
@@ -130,8 +132,10 @@ def parse_clusters(lines: DataFrame) -> DataFrame:
 
     Rows that begin with > head a cluster; members carry their id after >.
     """
-    w = Window.orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
-    df = lines.withColumn("cluster", F.sum(F.col("value").startswith(">").cast("int")).over(w) - 1).where(~F.col("value").startswith(">"))
+    # A member's cluster is how many heads stand before it, less one.
+    heads = F.col("value").startswith(">").cast("int")
+    df = running_sum(lines, heads, "line", F.floor(F.col("line") / 100_000), "heads").where(~F.col("value").startswith(">"))
+    df = df.withColumn("cluster", F.col("heads") - 1)
     gene = F.regexp_extract("value", r">(.+?)\.\.\.", 1)
     return df.select("cluster", gene.alias("gene"), F.regexp_extract(gene, r"^([^_]+)", 1).alias("tag"))
 

@@ -198,6 +198,16 @@ def test_scorer_by_hand():
     assert 0 < score.forward(x, w) < 1
 
 
+def test_running_sums_over_buckets(spark):
+    from basewise.functions.windows import running_sum
+
+    rng = np.random.default_rng(2)
+    held = [(int(i), int(rng.integers(0, 9))) for i in rng.permutation(300)]
+    df = spark.createDataFrame(held, "line long, v long").repartition(4)
+    got = {r.line: r.before for r in running_sum(df, F.col("v"), "line", F.floor(F.col("line") / 37), "before").collect()}
+    assert got == {i: sum(v for j, v in held if j < i) for i, _ in held}
+
+
 def test_scorer_gradients():
     w, x = score.random_weights(3), np.random.default_rng(2).random((4, 5, 8))
     for label in (0, 1):
