@@ -199,9 +199,13 @@ class Caller:
     def _named(self, cells: DataFrame, call: str) -> DataFrame:
         return cells.select(*SITE, "sample_id", call).join(self.kept[2].select("group_id", "sample_id", "sample_name"), ["group_id", "sample_id"])
 
+    @cached_property
+    def named_tree_cells(self) -> DataFrame:
+        return self._named(self.tree_cells, "tree_call")
+
     def mutation_table(self, names: list[str]) -> DataFrame:
         """The annotated mutations, with a column of letters a sample."""
-        return report.mutation_table(self.annotation, self._named(self.tree_cells, "tree_call"), "tree_call", names, self.quality)
+        return report.mutation_table(self.annotation, self.named_tree_cells, "tree_call", names, self.quality)
 
     @cached_property
     def final(self) -> DataFrame:

@@ -341,6 +341,31 @@ def test_groups_stay_apart(spark, genome):
         assert told(again[name]) == sorted(told(parts[0][name]) + told(parts[1][name])), name
 
 
+def test_outputs_are_read_again(spark, genome, tmp_path):
+    """What the caller writes, twice, is what it says."""
+    from basewise.plans.caller import Caller
+    from basewise.plans.outputs import write_call, write_coverage
+    from basewise.plans.queries import standin
+    from basewise.sources import adapter
+
+    tables = two_groups(spark)
+    names = sorted(r.sample_name for r in tables[2].collect())
+    out = Caller(*tables, genome, adapter.features(spark), scorer=standin)
+    for _ in range(2):
+        write_call(out, str(tmp_path / "out"), names)
+    read = lambda name, sep="\t": spark.read.csv(str(tmp_path / "out" / name), sep=sep, header=True)
+    assert read("filters").count() == out.filters.count() == read("merged_draft").count() > 0
+    rows = lambda name: read(name).count() if list((tmp_path / "out" / name).rglob("part-*")) else 0
+    assert rows("merged_final") + rows("merged_label0") == rows("merged_draft")
+    assert {r.group_id for r in read("mutations").collect()} == {r.group_id for r in out.annotation.collect()} and set(names) <= set(read("mutations").columns)
+    assert read("distances", ",").count() == out.distances.count() == 10 and read("snvs_per_sample", ",").count() == 12
+    assert spark.read.parquet(str(tmp_path / "out" / "final")).count() == out.final.count()
+    text = [r.value for r in spark.read.text(str(tmp_path / "out" / "sequences")).collect()]
+    assert sum(v.startswith(">") for v in text) == len(names) + 2
+    write_coverage(tables[1], str(tmp_path / "cov"))
+    assert spark.read.parquet(str(tmp_path / "cov" / "normalised")).count() == tables[1].count()
+
+
 def test_call_parameters_are_live(spark, genome):
     """Each parameter that leaves samples or rules out does so."""
     from basewise.plans.caller import Caller, CallParams
