@@ -27,11 +27,16 @@ def mutation_matrix(annotated: DataFrame) -> DataFrame:
     return mutations(annotated).groupBy("group_id", "anc_nt", "new_nt").agg(F.count(F.lit(1)).alias("n"))
 
 
-def mutation_spectrum(annotated: DataFrame) -> DataFrame:
+def every_group(annotated: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """group_id, once each: of groups (samples, say), mutated or not; unless given, of annotated."""
+    return (annotated if groups is None else groups).select("group_id").distinct()
+
+
+def mutation_spectrum(annotated: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """The six classes of each group with their counts, none left out."""
     classes = F.explode(F.array(*map(F.lit, CLASSES))).alias("class")
     counted = mutations(annotated).groupBy("group_id", mutation_class(F.col("anc_nt"), F.col("new_nt")).alias("class")).agg(F.count(F.lit(1)).alias("n"))
-    every = annotated.select("group_id").distinct().select("group_id", classes)
+    every = every_group(annotated, groups).select("group_id", classes)
     return every.join(counted, ["group_id", "class"], "left").select("group_id", "class", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 

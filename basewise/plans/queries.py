@@ -341,7 +341,7 @@ def mutation_matrix(x: Inputs) -> DataFrame:
 
 @query(f"SELECT class, count(m.class) AS n FROM (SELECT unnest(['AT/TA', 'AC/TG', 'AG/TC', 'GC/CG', 'GT/CA', 'GA/CT']) AS class) c LEFT JOIN (SELECT {s.CLASS} AS class FROM muts) m USING (class) GROUP BY class")
 def mutation_spectrum(x: Inputs) -> DataFrame:
-    return dnds.mutation_spectrum(x.annotated).drop("group_id")
+    return dnds.mutation_spectrum(x.annotated, x.samples).drop("group_id")
 
 
 @query("SELECT mutation_type, count(*) AS n FROM muts WHERE n_new = 1 GROUP BY mutation_type")

@@ -12,6 +12,8 @@ SF, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 SMALL = ["cmt_cells", "cell_attributes", "mask_copy_number", "filter_tokens", "mutation_quality", "gene_neighbours", "codon_effects", "cnn_tensor", "histogram_snv", "histogram_frac_n", "mask_samples", "ambiguity_fraction_strict", "sample_renamed"]
 #: Whose masks leave calls only where cells have more reads.
 CALLED = ["pairwise_distance", "filter_table", "scorable_positions", "mutation_table", "fast_predictions", "reanalysed_extras", "gap_statistics", "dnds_ratio", "recomb_pairs", "mutation_strings"]
+#: Which have rows where no cell has enough reads for a call, so that there is no mutation.
+UNMUTATED = ["mutation_spectrum"]
 duckdb = pytest.importorskip("duckdb")
 
 
@@ -33,6 +35,14 @@ def test_query_equals_its_sql(spark, name, sf):
     spark.catalog.clearCache()
 
 
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+@pytest.mark.parametrize("name", UNMUTATED)
+def test_query_of_no_mutation_equals_its_sql(spark, name):
+    assert queries.QUERIES["mutation_type"](spark, SF).count() == 0
+    test_query_equals_its_sql(spark, name, SF)
+    assert queries.QUERIES[name](spark, SF).count() > 0
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
