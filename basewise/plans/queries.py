@@ -367,7 +367,7 @@ _EXPECTED = f"""SELECT round(sum(chance * share / 2), 9) AS p_nonsyn FROM (
 
 @query(_EXPECTED)
 def dnds_expected(x: Inputs) -> DataFrame:
-    return dnds.expected_nonsynonymous(dnds.codon_usage(x.features), dnds.mutation_spectrum(x.annotated)).select(F.round("p_nonsyn", 9).alias("p_nonsyn"))
+    return dnds.expected_nonsynonymous(dnds.codon_usage(x.features), dnds.mutation_spectrum(x.annotated, x.samples)).select(F.round("p_nonsyn", 9).alias("p_nonsyn"))
 
 
 _OBSERVED = """SELECT n_nonsyn, n_syn, CASE WHEN n_nonsyn + n_syn > 0 THEN n_nonsyn::DOUBLE / (n_nonsyn + n_syn) ELSE 0 END AS p_nonsyn
