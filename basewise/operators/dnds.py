@@ -81,11 +81,11 @@ def expected_nonsynonymous(usage: DataFrame, spectrum: DataFrame) -> DataFrame:
     return share.join(F.broadcast(one), "class").groupBy("group_id").agg(F.sum(F.coalesce("chance", F.lit(0.0)) * F.col("share") / 2).alias("p_nonsyn"))
 
 
-def observed_nonsynonymous(annotated: DataFrame, alpha: float = 0.05) -> DataFrame:
+def observed_nonsynonymous(annotated: DataFrame, alpha: float = 0.05, groups: DataFrame | None = None) -> DataFrame:
     """group_id, n_nonsyn, n_syn, p_nonsyn and its exact binomial interval."""
     inside = annotated.where(F.col("gene_idx").isNotNull())
     n, s = F.count_if(F.col("mutation_type") == "N"), F.count_if(F.col("mutation_type") == "S")
-    df = annotated.select("group_id").distinct().join(inside.groupBy("group_id").agg(n.alias("n_nonsyn"), s.alias("n_syn")), "group_id", "left").na.fill(0, ["n_nonsyn", "n_syn"])
+    df = every_group(annotated, groups).join(inside.groupBy("group_id").agg(n.alias("n_nonsyn"), s.alias("n_syn")), "group_id", "left").na.fill(0, ["n_nonsyn", "n_syn"])
     df = df.withColumn("p_nonsyn", F.coalesce(F.try_divide(F.col("n_nonsyn").cast("double"), (F.col("n_nonsyn") + F.col("n_syn")).cast("double")), F.lit(0.0)))
 
     @F.pandas_udf("low double, high double")

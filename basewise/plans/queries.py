@@ -376,7 +376,7 @@ _OBSERVED = """SELECT n_nonsyn, n_syn, CASE WHEN n_nonsyn + n_syn > 0 THEN n_non
 
 @query(_OBSERVED)
 def dnds_observed(x: Inputs) -> DataFrame:
-    return dnds.observed_nonsynonymous(x.annotated).select("n_nonsyn", "n_syn", "p_nonsyn")
+    return dnds.observed_nonsynonymous(x.annotated, groups=x.samples).select("n_nonsyn", "n_syn", "p_nonsyn")
 
 
 @query(f"""SELECT n_nonsyn, n_syn, round(o.p_nonsyn, 9) AS p_nonsyn, e.p_nonsyn AS p_expected, round((o.p_nonsyn / nullif(1 - o.p_nonsyn, 0)) / nullif(e.p_nonsyn / nullif(1 - e.p_nonsyn, 0), 0), 6) AS dnds
