@@ -111,9 +111,9 @@ def odds(p: str) -> Column:
     return F.try_divide(F.col(p), 1 - F.col(p))
 
 
-def dnds(annotated: DataFrame, features: DataFrame, alpha: float = 0.05) -> DataFrame:
-    """A row a group: observed and expected odds of a change, their ratio, its bounds."""
-    expected = expected_nonsynonymous(codon_usage(features), mutation_spectrum(annotated)).select("group_id", F.col("p_nonsyn").alias("p_expected"))
-    df = observed_nonsynonymous(annotated, alpha).join(expected, "group_id")
+def dnds(annotated: DataFrame, features: DataFrame, alpha: float = 0.05, groups: DataFrame | None = None) -> DataFrame:
+    """A row a group (see every_group): observed and expected odds of a change, their ratio, its bounds."""
+    expected = expected_nonsynonymous(codon_usage(features), mutation_spectrum(annotated, groups)).select("group_id", F.col("p_nonsyn").alias("p_expected"))
+    df = observed_nonsynonymous(annotated, alpha, groups).join(expected, "group_id")
     ratios = {name: F.try_divide(odds(p), odds("p_expected")) for name, p in (("dnds", "p_nonsyn"), ("dnds_low", "ci_low"), ("dnds_high", "ci_high"))}
     return df.withColumns(ratios)

@@ -219,7 +219,7 @@ class Caller:
     @cached_property
     def dnds(self) -> DataFrame:
         final = self.annotation.join(self.labels.where("label = 1").select(*SITE), SITE, "left_semi")
-        return dnds.dnds(final, self.features)
+        return dnds.dnds(final, self.features, groups=self.kept[2])
 
     @cached_property
     def pairwise(self) -> DataFrame:
@@ -284,4 +284,4 @@ class Reanalysis:
 
     @cached_property
     def dnds(self) -> DataFrame:
-        return dnds.dnds(self.annotation, self.features)
+        return dnds.dnds(self.annotation, self.features, groups=self.samples)

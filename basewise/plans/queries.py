@@ -383,14 +383,14 @@ def dnds_observed(x: Inputs) -> DataFrame:
   FROM ({_OBSERVED}) o, ({_EXPECTED}) e""")
 def dnds_ratio(x: Inputs) -> DataFrame:
     """Without its interval, which SQL can't express; see dnds_interval."""
-    df = dnds.dnds(x.annotated, x.features)
+    df = dnds.dnds(x.annotated, x.features, groups=x.samples)
     return df.select("n_nonsyn", "n_syn", F.round("p_nonsyn", 9).alias("p_nonsyn"), F.round("p_expected", 9).alias("p_expected"), F.round("dnds", 6).alias("dnds"))
 
 
 @query()
 def dnds_interval(x: Inputs) -> DataFrame:
     """The exact binomial interval and the ratio's bounds; tested by hand."""
-    return dnds.dnds(x.annotated, x.features).select("ci_low", "ci_high", "dnds_low", "dnds_high")
+    return dnds.dnds(x.annotated, x.features, groups=x.samples).select("ci_low", "ci_high", "dnds_low", "dnds_high")
 
 
 @query("""SELECT p, CAST(o[1] % 8 AS INTEGER) AS o1, CAST(o[2] % 8 AS INTEGER) AS o2, CAST(o[3] % 8 AS INTEGER) AS o3, CAST(o[4] % 8 AS INTEGER) AS o4 FROM (

@@ -13,7 +13,7 @@ SMALL = ["cmt_cells", "cell_attributes", "mask_copy_number", "filter_tokens", "m
 #: Whose masks leave calls only where cells have more reads.
 CALLED = ["pairwise_distance", "filter_table", "scorable_positions", "mutation_table", "fast_predictions", "reanalysed_extras", "gap_statistics", "dnds_ratio", "recomb_pairs", "mutation_strings"]
 #: Which have rows where no cell has enough reads for a call, so that there is no mutation.
-UNMUTATED = ["mutation_spectrum", "dnds_expected", "dnds_observed"]
+UNMUTATED = ["mutation_spectrum", "dnds_expected", "dnds_observed", "dnds_ratio"]
 duckdb = pytest.importorskip("duckdb")
 
 
