@@ -20,6 +20,15 @@ paired with the leaders of the key, texts that no earlier leader's chain
 reaches: a group of copies never emits all its pairs, and a task holds the
 leaders and one block of rows.
 
+What chance and the leaders leave out is found exactly in a second pass.  All
+shingles have one order, and two texts of the similarity share one of the first
+n - ceil(similarity * n) + 1 of either's n distinct shingles.  Texts of different
+components, as the chains' links leave them, that meet by such a shingle, and
+whose sizes and places in the order allow the similarity, are held to it as well.
+So no link between components is left out, and a group of copies, one component
+by then, gives no pair.  Any order gives the same links; rare shingles come first,
+as counted on some ORDERED texts, so that few texts meet.
+
 Defined results: words are those of operator 7; texts of the same words are
 equal, those of null and empty texts and of white space alone among them; under
 five words the whole sequence is the one shingle; of each group the row with the
@@ -46,6 +55,10 @@ LEAST, MOST = 12, 30
 PAIRS_UP_TO, BLOCK = 8, 1 << 15
 #: Texts whose keys one task makes.
 DEALT = 16_384
+#: Texts whose shingles are counted for their order, about, and shingles that are counted as frequent, at most.
+ORDERED, FREQUENT = 16_384, 100_000
+#: Texts of one shingle from which those outside its largest component are taken one by one.
+MANY = 64
 #: Words whose hashes a task remembers.
 REMEMBERED = 500_000
 ODD = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -248,12 +261,140 @@ def _shingled(docs: DataFrame, asked: DataFrame, words: int) -> DataFrame:
     return rows.mapInArrow(make, "node long, s array<long>")
 
 
-def similar(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, text) -> (doc_id, k, node, component): component is the same for
-    rows whose texts are linked by pairs of the similarity or more."""
-    prints = written(_prints(docs, words), "prints")
-    texts = written(prints.groupBy("node").agg(F.first("fp").alias("fp"), F.min("k").alias("k"), F.count(F.lit(1)).alias("n")), "texts")
-    pairs = written(_candidates(texts, *layout(texts.count(), similarity)), "candidates")
+def _frequent(docs: DataFrame, total: int, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that come in several of some ORDERED texts, sorted, and in how
+    many: they come last in the order of all shingles."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, seen = Words(), set()
+        for batch in batches:
+            got = [np.zeros(0, np.uint64)]
+            for k, text in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
+                if k not in seen:
+                    seen.add(k)
+                    got.append(np.unique(shingles(known.of(text.as_py()), words)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(got).view(np.int64))], ["s"])
+
+    some = _texts(docs).where(F.pmod("k", F.lit(max(1, total // ORDERED))) == 0).mapInArrow(make, "s long")
+    rows = some.groupBy("s").agg(F.count(F.lit(1)).alias("n")).where("n > 2").orderBy(F.desc("n"), "s").limit(FREQUENT).collect()
+    held = np.array([(r.s, r.n) for r in rows], np.int64).reshape(-1, 2)
+    s, n = np.ascontiguousarray(held[:, 0]).view(np.uint64), held[:, 1]
+    at = np.argsort(s)
+    return s[at], n[at]
+
+
+def prefix(held: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], similarity: float) -> np.ndarray:
+    """The first of sorted distinct shingles, by the order of all: as many as
+    must hold one of any text of the similarity."""
+    size = len(held) - int(np.ceil(similarity * len(held) - 1e-9)) + 1 if len(held) else 0
+    known, counts = frequent
+    if not len(known):
+        return held[:size]
+    at = np.minimum(np.searchsorted(known, held), len(known) - 1)
+    n = np.where(known[at] == held, counts[at], 0)
+    return held[np.lexsort((held, n))[:size]]
+
+
+def allowed(n: np.ndarray, place: np.ndarray, m: np.ndarray, other: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether texts of n and m shingles that first meet at these places can be
+    of the similarity."""
+    least = similarity / (1 + similarity) * (n + m) - 1e-6
+    return (np.minimum(n, m) >= similarity * np.maximum(n, m) - 1e-6) & (np.minimum(n - place, m - other) >= least)
+
+
+def met(keys: np.ndarray, nodes: np.ndarray, parts: np.ndarray, n: np.ndarray, place: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of different parts (components) of whole keys that sizes and
+    places allow; rows are sorted by key, then n."""
+    if not len(keys):
+        return
+    edge = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    size = np.diff(np.r_[edge, len(keys)])
+    mixed_ = np.minimum.reduceat(parts, edge) != np.maximum.reduceat(parts, edge)
+    # Few texts: each row with the one so many rows on, while any is in reach.
+    few = np.repeat(mixed_ & (size <= MANY), size)
+    at, on = np.flatnonzero(few), 1
+    while len(at):
+        at = at[at + on < len(keys)]
+        at = at[(keys[at] == keys[at + on]) & (n[at] >= similarity * n[at + on] - 1e-6)]
+        to = at + on
+        ok = (parts[at] != parts[to]) & allowed(n[at], place[at], n[to], place[to], similarity)
+        yield nodes[at[ok]], nodes[to[ok]]
+        on += 1
+    for g in np.flatnonzero(mixed_ & (size > MANY)):
+        rows = slice(edge[g], edge[g] + size[g])
+        node, part, m, other = nodes[rows], parts[rows], n[rows], place[rows]
+        names, counts = np.unique(part, return_counts=True)
+        outside = part != names[np.argmax(counts)]
+        for i in np.flatnonzero(outside):
+            lo, hi = np.searchsorted(m, similarity * m[i] - 1e-6), np.searchsorted(m, m[i] / similarity + 1e-6, "right")
+            near = np.arange(lo, hi)
+            near = near[(part[lo:hi] != part[i]) & (~outside[lo:hi] | (near > i)) & allowed(m[lo:hi], other[lo:hi], m[i], other[i], similarity)]
+            yield np.full(len(near), node[i]), node[near]
+
+
+def _left_out(docs: DataFrame, roots: DataFrame, total: int, words: int, similarity: float) -> DataFrame:
+    """(a, b), a < b: every pair of texts of different components that can be of
+    the similarity."""
+    frequent = _frequent(docs, total, words)
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, seen = Words(), set()
+        for batch in batches:
+            node, n, first = [], [], []
+            for text in batch.column(2):
+                held = known.of(text.as_py())
+                name = known.hash(held.tobytes(), 1) - (1 << 63)
+                if name in seen:
+                    continue
+                seen.add(name)
+                held = np.unique(shingles(held, words))
+                node.append(name)
+                n.append(len(held))
+                first.append(prefix(held, frequent, similarity).view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(n, pa.int32()), pa.array(first, pa.list_(pa.int64()))], ["node", "n", "first"])
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple[np.ndarray, np.ndarray]] = []
+        rest: list[list[np.ndarray]] = []
+
+        def told() -> pa.RecordBatch:
+            a, b = (np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 2
+            out.clear()
+            pair = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+            return pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], ["a", "b"])
+
+        def whole(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            held = 0
+            for a, b in met(*rows, similarity):
+                out.append((a, b))
+                held += len(a)
+                if held >= 100_000:
+                    yield told()
+                    held = 0
+            yield told()
+
+        for batch in batches:
+            new = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
+            if not len(new[0]):
+                continue
+            rest.append(new)
+            # The last key may go on.
+            if new[0][-1] != rest[0][0][0]:
+                rows = [np.concatenate(x) for x in zip(*rest, strict=True)]
+                cut = np.searchsorted(rows[0], rows[0][-1], "left")
+                yield from whole([x[:cut] for x in rows])
+                rest = [[x[cut:] for x in rows]]
+        if rest:
+            yield from whole([np.concatenate(x) for x in zip(*rest, strict=True)])
+
+    of = roots.select("of", "component")
+    held = _texts(docs).mapInArrow(make, "node long, n int, first array<long>").join(of, F.col("node") == F.col("of"), "left")
+    keyed = held.select("node", F.coalesce("component", "node").alias("part"), "n", F.posexplode("first").alias("place", "key")).select("key", "node", "part", "n", "place")
+    return keyed.repartition("key").sortWithinPartitions("key", "n").mapInArrow(find, "a long, b long").distinct()
+
+
+def _links(docs: DataFrame, texts: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Those of the pairs (a, b), written, that are of the similarity."""
     # Pairs are few, and so are the texts that have to be read again.
     side = F.broadcast if 2 * pairs.count() <= BROADCAST_ROWS else (lambda df: df)
     nodes = side(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
@@ -261,10 +402,25 @@ def similar(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY)
     held = small(_shingled(docs, asked, words), "shingles", BROADCAST_ROWS, 1 << 21, "size(s)")
     mine, theirs = (held.select(F.col("node").alias(c), F.col("s").alias(f"s{c}")) for c in "ab")
     both = pairs.join(mine, "a").join(theirs, "b").select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("both"), (F.size("sa") + F.size("sb")).alias("all"))
-    links = both.where(F.col("both") >= F.lit(similarity) * (F.col("all") - F.col("both"))).select("a", "b")
-    roots = small(components(links), "roots", BROADCAST_ROWS).withColumnsRenamed({"node": "of", "root": "component"})
+    return both.where(F.col("both") >= F.lit(similarity) * (F.col("all") - F.col("both"))).select("a", "b")
+
+
+def _roots(links: DataFrame) -> DataFrame:
+    return small(components(links), "roots", BROADCAST_ROWS).withColumnsRenamed({"node": "of", "root": "component"})
+
+
+def similar(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
+    """(doc_id, text) -> (doc_id, k, node, component): component is the same for
+    rows whose texts are linked by pairs of the similarity or more."""
+    prints = written(_prints(docs, words), "prints")
+    texts = written(prints.groupBy("node").agg(F.first("fp").alias("fp"), F.min("k").alias("k"), F.count(F.lit(1)).alias("n")), "texts")
+    pairs = written(_candidates(texts, *layout(texts.count(), similarity)), "candidates")
+    links = written(_links(docs, texts, pairs, words, similarity), "links")
+    roots, total = _roots(links), prints.count()
+    more = written(_left_out(docs, roots, total, words, similarity), "left_out")
+    roots = _roots(links.union(_links(docs, texts, more, words, similarity)))
     named = texts.join(roots, F.col("node") == F.col("of"), "left").select("node", "n", F.coalesce("component", "node").alias("component"))
-    return attached(prints.select("doc_id", "k", "node"), written(named, "named"), "node", prints.count())
+    return attached(prints.select("doc_id", "k", "node"), written(named, "named"), "node", total)
 
 
 def one_of_each_group(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:

@@ -142,6 +142,42 @@ def test_similar_candidates_at_every_size(spark):
         assert hit >= 0.95 * len(pairs) and len(found) < 3 * len(pairs)
 
 
+def changed(rng, words, at):
+    """words with one replaced at each of the places."""
+    return [f"new{rng.getrandbits(60)}" if i in at else w for i, w in enumerate(words)]
+
+
+def test_similar_leaves_no_link_out(spark):
+    """Pairs at just the similarity, alone and among dozens of one key whose
+    leaders are less similar; those just below it stay apart."""
+    rng, texts = random.Random(5), []
+    base = lambda: [f"w{rng.randrange(3000)}" for _ in range(139)]
+    for n in range(200):
+        # 135 shingles, of which 3 words change 15: 120 of 150.  A fourth is too many.
+        one = base()
+        texts += [one, changed(rng, one, [10, 40, 70] if n % 4 else [10, 40, 70, 100])]
+    family = base()
+    for i in range(30):
+        one = changed(rng, family, [4 + i * 4, (60 + i * 4) % 135, (95 + i * 4) % 135])
+        texts += [one, changed(rng, one, [(25 + i * 4) % 130 + 4, (75 + i * 4) % 130 + 4])]
+    texts = [" ".join(x) for x in texts]
+    have = {}
+    for r in simhash_similar.similar(documents(spark, list(enumerate(texts))).repartition(4)).collect():
+        have.setdefault(r.component, set()).add(r.doc_id)
+    assert {frozenset(x) for x in have.values()} == plain_groups(texts)
+
+
+def test_texts_that_meet_by_many_or_few():
+    """Pairs of a shingle are the same one by one and row by row."""
+    rng = np.random.default_rng(6)
+    for rows in (2, 40, 64, 65, 200):
+        n = np.sort(rng.integers(10, 30, rows)).astype(np.int32)
+        parts, nodes, place = rng.integers(0, 4, rows), np.arange(rows), rng.integers(0, 5, rows).astype(np.int32)
+        got = {(int(min(x, y)), int(max(x, y))) for a, b in simhash_similar.met(np.zeros(rows, np.int64), nodes, parts, n, place, 0.8) for x, y in zip(a, b, strict=True)}
+        want = {(i, j) for j in range(rows) for i in range(j) if parts[i] != parts[j] and 5 * n[i] >= 4 * n[j] and 9 * min(n[i] - place[i], n[j] - place[j]) >= 4 * (n[i] + n[j])}
+        assert got == want
+
+
 def test_one_row_of_each_group_stays(spark):
     """Repeated rows, shared and null doc_ids, other columns of any name."""
     a, b = " ".join(WORDS), " ".join(reversed(WORDS))
