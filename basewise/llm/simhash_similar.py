@@ -29,6 +29,12 @@ So no link between components is left out, and a group of copies, one component
 by then, gives no pair.  Any order gives the same links; rare shingles come first,
 as counted on some ORDERED texts, so that few texts meet.
 
+Before texts are read again, pairs of either pass are held to their texts'
+signatures: a bit for the parity of the distinct shingles that fall on it.  Two
+texts' signatures differ in no more bits than shingles are in one text alone, so
+the bound loses no link, and few pairs under a similarity of 0.7 pass it.  Only
+for what passes are whole sets of shingles moved.
+
 Defined results: words are those of operator 7; texts of the same words are
 equal, those of null and empty texts and of white space alone among them; under
 five words the whole sequence is the one shingle; of each group the row with the
@@ -42,6 +48,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -116,6 +123,35 @@ def fingerprint(held: np.ndarray) -> bytes:
     return np.packbits(2 * ones > len(held), bitorder="little").tobytes()
 
 
+def signature(held: np.ndarray) -> bytes:
+    """The parity of how many distinct shingles fall on each bit; the bits are a
+    power of two, at least as many as the shingles."""
+    bits = max(64, 1 << max(len(held) - 1, 0).bit_length())
+    ones = np.bincount((held & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(ones.astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(rows: np.ndarray, size: int) -> np.ndarray:
+    """Signatures, a row each, in so many bytes."""
+    while rows.shape[1] > size:
+        half = rows.shape[1] // 2
+        rows = rows[:, :half] ^ rows[:, half:]
+    return rows
+
+
+def near_enough(n: np.ndarray, x: pa.Array, m: np.ndarray, y: pa.Array, similarity: float) -> np.ndarray:
+    """Whether texts of n and m shingles can be of the similarity, by their
+    signatures."""
+    fits, sizes = np.zeros(len(n), bool), np.stack([pc.binary_length(c).to_numpy(zero_copy_only=False) for c in (x, y)], axis=1)
+    for both in np.unique(sizes, axis=0):
+        at = np.flatnonzero((sizes == both).all(1))
+        a, b = (np.frombuffer(b"".join(c.take(pa.array(at)).to_pylist()), np.uint8).reshape(len(at), -1) for c in (x, y))
+        alone = np.bitwise_count(folded(a, both.min()) ^ folded(b, both.min())).sum(1, dtype=np.int64)
+        total = n[at] + m[at]
+        fits[at] = total - alone >= 2 * similarity / (1 + similarity) * total - 1e-6
+    return fits
+
+
 def layout(texts: int, similarity: float = SIMILARITY) -> tuple[int, int]:
     """Key bits and rings for so many distinct texts."""
     bits = int(np.clip(np.ceil(np.log2(max(texts, 2))), LEAST, MOST))
@@ -179,19 +215,22 @@ def _pairs(keys: np.ndarray, nodes: np.ndarray, chains: np.ndarray, led: Leaders
 
 
 def _prints(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, k, node, fp): a text's raw hash, that of its words, its bits."""
+    """(doc_id, k, node, fp, m, sig): a text's raw hash, that of its words, its
+    bits, its distinct shingles and their signature."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Words()
         for batch in batches:
-            node, fp = np.empty(batch.num_rows, np.int64), []
+            node, m, fp, sig = np.empty(batch.num_rows, np.int64), np.empty(batch.num_rows, np.int64), [], []
             for i, text in enumerate(batch.column(2)):
                 held = known.of(text.as_py())
                 node[i] = known.hash(held.tobytes(), 1) - (1 << 63)
-                fp.append(fingerprint(shingles(held, words)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(node), pa.array(fp, pa.binary())], ["doc_id", "k", "node", "fp"])
+                fp.append(fingerprint(held := shingles(held, words)))
+                m[i] = len(held := np.unique(held))
+                sig.append(signature(held))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(node), pa.array(fp, pa.binary()), pa.array(m), pa.array(sig, pa.binary())], ["doc_id", "k", "node", "fp", "m", "sig"])
 
-    return _texts(docs).mapInArrow(make, "doc_id long, k long, node long, fp binary")
+    return _texts(docs).mapInArrow(make, "doc_id long, k long, node long, fp binary, m long, sig binary")
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -393,6 +432,19 @@ def _left_out(docs: DataFrame, roots: DataFrame, total: int, words: int, similar
     return keyed.repartition("key").sortWithinPartitions("key", "n").mapInArrow(find, "a long, b long").distinct()
 
 
+def _possible(texts: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """Those of the pairs (a, b) that can be of the similarity by their texts'
+    signatures."""
+
+    def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 4))
+            yield batch.select(["a", "b"]).filter(pa.array(near_enough(n, batch.column(3), m, batch.column(5), similarity)))
+
+    mine, theirs = (texts.select(F.col("node").alias(c), F.col("m").alias(f"m{c}"), F.col("sig").alias(f"sig{c}")) for c in "ab")
+    return pairs.join(mine, "a").join(theirs, "b").select("a", "b", "ma", "siga", "mb", "sigb").mapInArrow(hold, "a long, b long")
+
+
 def _links(docs: DataFrame, texts: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
     """Those of the pairs (a, b), written, that are of the similarity."""
     # Pairs are few, and so are the texts that have to be read again.
@@ -413,11 +465,14 @@ def similar(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY)
     """(doc_id, text) -> (doc_id, k, node, component): component is the same for
     rows whose texts are linked by pairs of the similarity or more."""
     prints = written(_prints(docs, words), "prints")
-    texts = written(prints.groupBy("node").agg(F.first("fp").alias("fp"), F.min("k").alias("k"), F.count(F.lit(1)).alias("n")), "texts")
-    pairs = written(_candidates(texts, *layout(texts.count(), similarity)), "candidates")
+    told = (F.first(c).alias(c) for c in ("fp", "m", "sig"))
+    texts = written(prints.groupBy("node").agg(*told, F.min("k").alias("k"), F.count(F.lit(1)).alias("n")), "texts")
+    met_ = written(_candidates(texts, *layout(texts.count(), similarity)), "candidates")
+    pairs = written(_possible(texts, met_, similarity), "possible")
     links = written(_links(docs, texts, pairs, words, similarity), "links")
     roots, total = _roots(links), prints.count()
-    more = written(_left_out(docs, roots, total, words, similarity), "left_out")
+    met_ = written(_left_out(docs, roots, total, words, similarity), "left_out")
+    more = written(_possible(texts, met_, similarity), "possible")
     roots = _roots(links.union(_links(docs, texts, more, words, similarity)))
     named = texts.join(roots, F.col("node") == F.col("of"), "left").select("node", "n", F.coalesce("component", "node").alias("component"))
     return attached(prints.select("doc_id", "k", "node"), written(named, "named"), "node", total)

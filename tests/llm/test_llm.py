@@ -167,6 +167,53 @@ def test_similar_leaves_no_link_out(spark):
     assert {frozenset(x) for x in have.values()} == plain_groups(texts)
 
 
+def test_only_near_texts_are_read_again(spark, monkeypatch):
+    """Texts that share half their shingles meet, but aren't compared in whole;
+    no pair of the similarity is left out for that."""
+    rng, texts, given = random.Random(7), [], []
+    fresh = lambda n: [f"w{rng.getrandbits(50)}" for _ in range(n)]
+    for n in range(80):
+        one = fresh(60 + 7 * n)
+        texts += [one, one[: len(one) * 2 // 3] + fresh(len(one) // 3)]
+    for n in range(40):
+        one = fresh(139)
+        texts += [one, changed(rng, one, [10, 40, 70])]
+    texts = [" ".join(x) for x in texts]
+    links = simhash_similar._links
+
+    def counted(docs, known, pairs, *rest):
+        given.append(pairs.count())
+        return links(docs, known, pairs, *rest)
+
+    monkeypatch.setattr(simhash_similar, "_links", counted)
+    have = {}
+    for r in simhash_similar.similar(documents(spark, list(enumerate(texts))).repartition(3)).collect():
+        have.setdefault(r.component, set()).add(r.doc_id)
+    assert {frozenset(x) for x in have.values()} == plain_groups(texts)
+    assert len(given) == 2 and sum(given) <= 44
+
+
+def test_signatures_lose_no_pair():
+    """The bound holds at every size, also across a power of two."""
+    rng = np.random.default_rng(8)
+    draw = lambda n: rng.integers(0, 2**64, n, dtype=np.uint64)
+    sets, want = [], []
+    for n in (0, 1, 2, 5, 9, 60, 64, 65, 130, 515, 1030, 4100):
+        for share in (1, 0.95, 0.9, 0.889, 0.85, 0.7, 0.5, 0):
+            for other in (n, int(n * 0.95), int(n * 0.8)):
+                a = draw(n)
+                b = np.r_[a[: int(min(n, other) * share)], draw(other - int(min(n, other) * share))]
+                sets.append((np.unique(a), np.unique(b)))
+                both = len(np.intersect1d(a, b))
+                want.append(both / max(1, n + other - both))
+    n, m = (np.array([len(s[i]) for s in sets]) for i in (0, 1))
+    x, y = (simhash_similar.pa.array([simhash_similar.signature(s[i]) for s in sets]) for i in (0, 1))
+    got, want = simhash_similar.near_enough(n, x, m, y, 0.8), np.array(want)
+    assert got[want >= 0.8].all() and (want >= 0.8).sum() > 40
+    large = np.minimum(n, m) > 200
+    assert not got[large & (want < 0.65)].any() and (large & (want < 0.65)).sum() > 20
+
+
 def test_texts_that_meet_by_many_or_few():
     """Pairs of a shingle are the same one by one and row by row."""
     rng = np.random.default_rng(6)
